@@ -8,7 +8,7 @@ from freshet import schemas as S
 from freshet.operators.decode import current_rows, decode_changes
 from freshet.plans.base import plan
 
-CHANGE_LOG = S.schema("value string, offset long")
+CHANGE_LOG = S.schema(value="string", offset="long")
 
 
 @plan(CHANGE_LOG)

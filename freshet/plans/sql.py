@@ -30,7 +30,7 @@ def premium_products(df: DataFrame, category: str = V.PREMIUM_CATEGORY, price: f
     )
 
 
-@plan(S.schema("timestamp timestamp, value long"))
+@plan(S.schema(timestamp="timestamp", value="long"))
 def siem_events(df: DataFrame) -> DataFrame:
     """Numbered events with a label and a fixed address."""
     marked, normal = V.SIEM_LABELS
@@ -42,7 +42,7 @@ def siem_events(df: DataFrame) -> DataFrame:
     )
 
 
-@plan(S.schema("timestamp timestamp, event_type string, src_ip string, id long"), mode="batch")
+@plan(S.schema(timestamp="timestamp", event_type="string", src_ip="string", id="long"), mode="batch")
 def siem_hunt(df: DataFrame) -> DataFrame:
     """A few marked events, the first by id."""
     return df.sparkSession.sql(

@@ -45,8 +45,8 @@ def running_sum_stream(
         sums = steps.cumsum() + state[0]
         return rows.assign(**{out: sums}), (sums.iloc[-1].item(),)
 
-    total = T.StructType.fromDDL(f"total {kind}")
-    return keyed(df, keys, seq, step, T.StructType.fromDDL(f"`{out}` {kind}"), total, (0,))
+    total = T.StructType().add("total", kind)
+    return keyed(df, keys, seq, step, T.StructType().add(out, kind), total, (0,))
 
 
 def changed_stream(df: DataFrame, key: str, seq: str, column: str, out: str) -> DataFrame:
@@ -60,7 +60,7 @@ def changed_stream(df: DataFrame, key: str, seq: str, column: str, out: str) ->
         return rows.assign(**{out: flag}), (None if pd.isna(last) else last,)
 
     return keyed(
-        df, [key], seq, step, T.StructType.fromDDL(f"`{out}` boolean"), T.StructType.fromDDL("last string"), (None,)
+        df, [key], seq, step, T.StructType().add(out, "boolean"), T.StructType().add("last", "string"), (None,)
     )
 
 
@@ -81,7 +81,7 @@ def latched_stream(
         return rows.assign(**{out: blocked}), (int(state[0] + fails.sum()),)
 
     return keyed(
-        df, [key], seq, step, T.StructType.fromDDL(f"`{out}` boolean"), T.StructType.fromDDL("fails long"), (0,)
+        df, [key], seq, step, T.StructType().add(out, "boolean"), T.StructType().add("fails", "long"), (0,)
     )
 
 
@@ -99,5 +99,5 @@ def halving_fold_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str
         return rows.assign(**{out: folded}), (float(folded.iloc[-1]),)
 
     return keyed(
-        df, keys, seq, step, T.StructType.fromDDL(f"`{out}` double"), T.StructType.fromDDL("folded double"), (None,)
+        df, keys, seq, step, T.StructType().add(out, "double"), T.StructType().add("folded", "double"), (None,)
     )
