@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +53,28 @@ def lexicon_label(
     words = df.select(key, F.explode_outer(F.split(F.lower(text), " ", -1)).alias("word"))
     scored = words.join(lexicon.select("word", "score"), "word", "left")
     means = scored.groupBy(key).agg(F.avg("score").alias("polarity"))
-    return means.withColumn(
-        out, label([(F.col("polarity") > high, "POSITIVE"), (F.col("polarity") < low, "NEGATIVE")], "NEUTRAL")
-    )
+    return means.withColumn(out, polarity_label("polarity", high, low))
+
+
+def polarity_label(polarity: str, high: float = 0.1, low: float = -0.1) -> Column:
+    score = F.col(polarity)
+    return label([(score > high, "POSITIVE"), (score < low, "NEGATIVE")], "NEUTRAL")
+
+
+def polarity(text: str | Column, lexicon: Mapping[str, float]) -> Column:
+    """Mean lexicon score of each text, null without a scored word.
+
+    For streams, where a grouping per text would need state, and for word lists
+    small enough to travel with the task. Texts come in Arrow batches.
+    """
+    scores = {w.lower(): float(s) for w, s in lexicon.items()}
+
+    @F.pandas_udf("double")
+    def mean_score(texts: pd.Series) -> pd.Series:
+        def mean(text: str | None) -> float | None:
+            found = [scores[w] for w in text.split(" ") if w in scores] if text else []
+            return sum(found) / len(found) if found else None
+
+        return texts.map(mean).astype("float64")
+
+    return mean_score(F.lower(as_column(text)))

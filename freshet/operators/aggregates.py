@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.scalars import as_column, nan_to_null
+from freshet.functions.scalars import as_column, count_true, nan_to_null
 
 
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,10 +50,16 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*structs)).alias("_c")).select("_c.*")
 
 
-def volume_alert(df: DataFrame, batch: str, condition: str | Column, more_than: int, out: str = "hits") -> DataFrame:
-    """Batches in which the condition holds for more than the given rows."""
-    hit = F.expr(condition) if isinstance(condition, str) else condition
-    return group_agg(df, batch, **{out: F.count_if(hit)}).filter(F.col(out) > more_than)
+def volume_alert(
+    df: DataFrame, batch: str | None, condition: str | Column, more_than: int, out: str = "hits"
+) -> DataFrame:
+    """Batches in which the condition holds for more than the given rows.
+
+    Without a batch column the frame is one batch.
+    """
+    hits = count_true(condition).alias(out)
+    counts = with_keys(df, [batch]).groupBy(batch).agg(hits) if batch else df.agg(hits)
+    return counts.filter(F.col(out) > more_than)
 
 
 def top_n(df: DataFrame, by: str | Column, n: int, ties: Sequence[str] = ()) -> DataFrame:

@@ -24,18 +24,19 @@ def decode_json(
     schema: T.StructType,
     value: str = "value",
     nested: str | None = None,
+    keep: Sequence[str] = (),
     keep_bad: bool = False,
 ) -> DataFrame:
     """Decodes the payload column against a declared schema.
 
-    Without ``nested`` the payload's fields become the columns. With it the
-    other columns stay and the payload is kept whole as one nested field. Text
-    that does not fit gives null fields; ``keep_bad`` adds it as a column, for
-    ``good_rows`` and ``bad_rows`` to split on.
+    Without ``nested`` the payload's fields become the columns, after those in
+    ``keep``. With it all columns stay and the payload is kept whole as one
+    nested field. Text that does not fit gives null fields; ``keep_bad`` adds it
+    as a column, for ``good_rows`` and ``bad_rows`` to split on.
     """
     data = _parsed(value, schema, keep_bad)
     if nested is None:
-        return df.select(data.alias("_data")).select("_data.*")
+        return df.select(*keep, data.alias("_data")).select(*keep, "_data.*")
     return df.withColumn(nested, data)
 
 

@@ -23,7 +23,8 @@ class Plan:
     ``mode`` says how its stream is written: append, update and complete are
     Spark's output modes; per_batch applies the transform to each micro-batch
     alone; batch has no stream form. ``on_stream`` replaces the transform on a
-    stream where keyed state is needed.
+    stream where keyed state is needed. ``keep`` names the log columns the
+    transform reads besides the payload.
     """
 
     name: str
@@ -31,6 +32,7 @@ class Plan:
     transform: Callable[..., DataFrame]
     mode: str = "append"
     on_stream: Callable[..., DataFrame] | None = None
+    keep: tuple[str, ...] = ()
 
     def run(self, df: DataFrame, **tables) -> DataFrame:
         """The plan on decoded rows."""
@@ -38,7 +40,7 @@ class Plan:
 
     def run_log(self, log: DataFrame, **tables) -> DataFrame:
         """The plan on log records with JSON payloads."""
-        return self.run(decode_json(log, self.schema), **tables)
+        return self.run(decode_json(log, self.schema, keep=self.keep), **tables)
 
     def write(self, stream: DataFrame, path: str, checkpoint: str, **tables) -> DataStreamWriter:
         """A stream of decoded rows through the plan into a Parquet folder."""
@@ -53,11 +55,16 @@ class Plan:
         return runs.to_changes(result, path, checkpoint, self.mode)
 
 
-def plan(schema: T.StructType, mode: str = "append", on_stream: Callable[..., DataFrame] | None = None):
+def plan(
+    schema: T.StructType,
+    mode: str = "append",
+    on_stream: Callable[..., DataFrame] | None = None,
+    keep: tuple[str, ...] = (),
+):
     """Registers a transform as the plan of its name."""
 
     def register(transform: Callable[..., DataFrame]) -> Plan:
-        made = Plan(transform.__name__, schema, transform, mode, on_stream)
+        made = Plan(transform.__name__, schema, transform, mode, on_stream, keep)
         PLANS[made.name] = made
         return made
 

@@ -20,12 +20,14 @@ from freshet.plans import values as V
 from freshet.plans.base import plan
 from freshet.streaming.state import changed_stream, latched_stream, running_sum_stream
 
+ORDER = ("offset",)
+
 
 def _interest_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
     return running_sum_stream(df, ["user_id", "category"], seq, None, "enriched_interest")
 
 
-@plan(S.PAGE_VIEW, on_stream=_interest_on_stream)
+@plan(S.PAGE_VIEW, on_stream=_interest_on_stream, keep=ORDER)
 def interest_profile(df: DataFrame, seq: str = "offset") -> DataFrame:
     """How often the user has seen the category so far."""
     return running_count(df, ["user_id", "category"], seq, "enriched_interest")
@@ -43,7 +45,7 @@ def _card_alerts_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
     return changed_stream(df, "card_id", seq, "country", "fraud_alert")
 
 
-@plan(S.CARD_USE, on_stream=_card_alerts_on_stream)
+@plan(S.CARD_USE, on_stream=_card_alerts_on_stream, keep=ORDER)
 def card_alerts(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Whether the card is used in another country than the time before."""
     return changed(df, "card_id", seq, "country", "fraud_alert")
@@ -62,7 +64,7 @@ def zone_violations(df: DataFrame, planned: DataFrame) -> DataFrame:
     return expected.withColumn("violation", F.col("current_zone") != F.col("planned_zone")).drop("planned_zone")
 
 
-@plan(S.PLAYER, mode="batch")
+@plan(S.PLAYER, mode="batch", keep=ORDER)
 def player_ranks(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Running score and rank among all players at each record."""
     return rank_asof(df, "player", seq, "points")
@@ -84,7 +86,7 @@ def _tags_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
     return running_sum_stream(df, ["tag"], seq, None, "tag_total")
 
 
-@plan(S.POST, on_stream=_tags_on_stream)
+@plan(S.POST, on_stream=_tags_on_stream, keep=ORDER)
 def tag_totals(df: DataFrame, seq: str = "offset") -> DataFrame:
     """How often the tag has been used so far."""
     return running_count(df, "tag", seq, "tag_total")
@@ -107,7 +109,7 @@ def _logins_on_stream(df: DataFrame, seq: str = "offset", blacklist: DataFrame |
     return out.drop("_seeded")
 
 
-@plan(S.LOGIN, on_stream=_logins_on_stream)
+@plan(S.LOGIN, on_stream=_logins_on_stream, keep=ORDER)
 def login_blocks(df: DataFrame, seq: str = "offset", blacklist: DataFrame | None = None) -> DataFrame:
     """Whether the address was blocked before this login."""
     failing = F.col("status") == V.LOGIN_FAILED
@@ -119,7 +121,7 @@ def word_counts(df: DataFrame) -> DataFrame:
     return tokens(df.select("text"), "text").groupBy("word").agg(F.count("*").alias("count"))
 
 
-@plan(S.COMMENT, mode="batch")
+@plan(S.COMMENT, mode="batch", keep=ORDER)
 def running_word_counts(df: DataFrame, seq: str = "offset", texts_per_block: int = 100_000) -> DataFrame:
     """Every word with its count so far, in the order of texts and words.
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet import schemas as S
 from freshet.functions.rules import classify
 from freshet.functions.scalars import epoch_to_ts
-from freshet.functions.text import keyword_label, lexicon_label
+from freshet.functions.text import keyword_label, polarity, polarity_label
 from freshet.operators.aggregates import group_agg, ranked, top_n, volume_alert
 from freshet.operators.clusters import score
 from freshet.operators.windows import windowed
@@ -59,14 +61,15 @@ def comment_keywords(df: DataFrame) -> DataFrame:
     return keyword_label(df, "text", lists, "sentiment", V.NEUTRAL)
 
 
-@plan(S.COMMENT, mode="per_batch")
-def comment_sentiment(df: DataFrame, lexicon: DataFrame, key: str = "comment_id") -> DataFrame:
+@plan(S.COMMENT)
+def comment_sentiment(df: DataFrame, lexicon: Mapping[str, float]) -> DataFrame:
     """Mean word score of each comment, as a label."""
-    return lexicon_label(df, key, "text", lexicon, "sentiment", V.SENTIMENT_HIGH, V.SENTIMENT_LOW)
+    scored = df.withColumn("polarity", polarity("text", lexicon))
+    return scored.withColumn("sentiment", polarity_label("polarity", V.SENTIMENT_HIGH, V.SENTIMENT_LOW))
 
 
 @plan(S.COMMENT, mode="per_batch")
-def negative_volume(df: DataFrame, batch: str = "batch_id") -> DataFrame:
+def negative_volume(df: DataFrame, batch: str | None = None) -> DataFrame:
     """Batches with an unusual number of negative comments."""
     return volume_alert(df, batch, "sentiment = 'NEGATIVE'", V.NEGATIVES_PER_BATCH, "negatives")
 

@@ -36,6 +36,13 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def latest_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a folder of updates by batch says now: the newest row of each key."""
+    values = [c for c in changes.columns if c not in (*keys, BATCH)]
+    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
 def append_to_table(df: DataFrame, name: str, batch_id: int) -> None:
     """The same for a catalog table; the first batch creates it."""
     marked = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
