@@ -151,8 +151,10 @@ def latched(
 
     A key is blocked once more than ``after`` of its rows have failed, or from
     the start if it is in ``seed``. A row sees the rows before it only.
+    ``failing`` is a condition, or the number of failures a row stands for.
     """
-    counted = running_sum(df, key, order, F.when(failing, 1).otherwise(0), "_failed", inclusive=False, **options)
+    fails = failing.cast("long")  # a truth value counts as one; a number stands for that many
+    counted = running_sum(df, key, order, F.coalesce(fails, F.lit(0)), "_failed", inclusive=False, **options)
     blocked = F.col("_failed") > after
     if seed is not None:
         known = seed.select(key).distinct().withColumn("_seeded", F.lit(True))

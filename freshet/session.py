@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle: int = 8, memory: str = "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="freshet-warehouse-"))
     )
     spark = builder.getOrCreate()
