@@ -6,12 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from freshet.operators.decode import decode_json
 from freshet.sinks.tables import append_batch
 from freshet.streaming import runs
+from freshet.streaming.runs import Batch
 
 PLANS: dict[str, "Plan"] = {}
 
@@ -22,9 +24,10 @@ class Plan:
 
     ``mode`` says how its stream is written: append, update and complete are
     Spark's output modes; per_batch applies the transform to each micro-batch
-    alone; batch has no stream form. ``on_stream`` replaces the transform on a
-    stream where keyed state is needed. ``keep`` names the log columns the
-    transform reads besides the payload.
+    alone; carried does so with the state of the one before; batch has no stream
+    form. ``on_stream`` replaces the transform on a stream where keyed state is
+    needed. ``on_batches(folder, sink)`` makes the callback for carried state.
+    ``keep`` names the log columns the transform reads besides the payload.
     """
 
     name: str
@@ -33,6 +36,7 @@ class Plan:
     mode: str = "append"
     on_stream: Callable[..., DataFrame] | None = None
     keep: tuple[str, ...] = ()
+    on_batches: Callable[..., Batch] | None = None
 
     def run(self, df: DataFrame, **tables) -> DataFrame:
         """The plan on decoded rows."""
@@ -42,10 +46,26 @@ class Plan:
         """The plan on log records with JSON payloads."""
         return self.run(decode_json(log, self.schema, keep=self.keep), **tables)
 
+    def run_documents(self, log: DataFrame, **tables) -> DataFrame:
+        """The plan on log records, as documents.
+
+        A document holds the payload's text, the columns the plan has added and
+        the whole payload as ``parsed_data``.
+        """
+        payload = self.schema.names
+        text = log.withColumn("value", F.col("value").cast("string"))
+        decoded = decode_json(text, self.schema, keep=["value", *self.keep])
+        done = self.run(decoded, **tables)
+        added = [c for c in done.columns if c not in ("value", *self.keep, *payload)]
+        return done.select("value", *added, F.struct(*payload).alias("parsed_data"))
+
     def write(self, stream: DataFrame, path: str, checkpoint: str, **tables) -> DataStreamWriter:
         """A stream of decoded rows through the plan into a Parquet folder."""
         if self.mode == "batch":
             raise ValueError(f"{self.name} has no stream form")
+        if self.mode == "carried":
+            each = self.on_batches(f"{checkpoint}-carried", lambda b, n: append_batch(b, path, n), **tables)
+            return runs.to_batches(stream, each, checkpoint)
         if self.mode == "per_batch":
             each = runs.per_batch(lambda batch: self.transform(batch, **tables), lambda b, n: append_batch(b, path, n))
             return runs.to_batches(stream, each, checkpoint)
@@ -60,11 +80,12 @@ def plan(
     mode: str = "append",
     on_stream: Callable[..., DataFrame] | None = None,
     keep: tuple[str, ...] = (),
+    on_batches: Callable[..., Batch] | None = None,
 ):
     """Registers a transform as the plan of its name."""
 
     def register(transform: Callable[..., DataFrame]) -> Plan:
-        made = Plan(transform.__name__, schema, transform, mode, on_stream, keep)
+        made = Plan(transform.__name__, schema, transform, mode, on_stream, keep, on_batches)
         PLANS[made.name] = made
         return made
 

@@ -18,6 +18,8 @@ from freshet.operators.ranking import rank_asof
 from freshet.operators.windows import with_window
 from freshet.plans import values as V
 from freshet.plans.base import plan
+from freshet.streaming.carried import rank_batches
+from freshet.streaming.runs import Batch
 from freshet.streaming.state import changed_stream, latched_stream, running_sum_stream
 
 ORDER = ("offset",)
@@ -64,7 +66,11 @@ def zone_violations(df: DataFrame, planned: DataFrame) -> DataFrame:
     return expected.withColumn("violation", F.col("current_zone") != F.col("planned_zone")).drop("planned_zone")
 
 
-@plan(S.PLAYER, mode="batch", keep=ORDER)
+def _ranks_on_batches(folder: str, sink: Batch, seq: str = "offset") -> Batch:
+    return rank_batches("player", seq, "points", folder, sink)
+
+
+@plan(S.PLAYER, mode="carried", keep=ORDER, on_batches=_ranks_on_batches)
 def player_ranks(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Running score and rank among all players at each record."""
     return rank_asof(df, "player", seq, "points")

@@ -45,16 +45,13 @@ def latest_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def append_to_table(df: DataFrame, name: str, batch_id: int) -> None:
     """The same for a catalog table; the first batch creates it."""
-    marked = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        marked.limit(0).write.format("parquet").partitionBy(BATCH).saveAsTable(name)
-    columns = [c for c in spark.table(name).columns if c != BATCH]
-    (
-        marked.select(*columns, BATCH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
+        empty = df.limit(0).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        empty.write.format("parquet").partitionBy(BATCH).saveAsTable(name)
+    columns = ", ".join(f"`{c}`" for c in spark.table(name).columns if c != BATCH)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH} = {int(batch_id)}) SELECT {columns} FROM {{batch}}", batch=df
     )
 
 

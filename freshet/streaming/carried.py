@@ -38,7 +38,10 @@ def carried(apply: Transform, remember: Transform, seq: str, folder: str, sink:
             if batch_id > 0:
                 before = kept.sparkSession.read.parquet(f"{folder}/{(batch_id - 1) % 2}")
                 rows = kept.unionByName(before, allowMissingColumns=True)
-            sink(apply(rows).filter(F.col(seq) > BEFORE), batch_id)
+            result = apply(rows).filter(F.col(seq) > BEFORE)
+            # A carried total may be wider than the column it stands in for.
+            kinds = {f.name: f.dataType for f in batch.schema.fields if f.name in result.columns}
+            sink(result.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()}), batch_id)
             after = remember(rows).withColumn(seq, F.lit(BEFORE).cast(batch.schema[seq].dataType))
             after.write.mode("overwrite").parquet(f"{folder}/{batch_id % 2}")
         finally:
