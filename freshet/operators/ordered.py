@@ -39,22 +39,24 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], renamed: S
 
 def cut_hot_keys(
     df: DataFrame, keys: Sequence[str], position: str, span: int = HOT_ROWS, hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, bool]:
-    """Adds ``_block``: null for ordinary keys, the position's block for hot ones.
+) -> tuple[DataFrame, list[str]]:
+    """The frame, and the columns whose groups are small enough for one task.
 
-    The second value says whether any key was cut. Runs one small job.
+    Without hot keys these are the keys. Otherwise ``_block`` is added to them:
+    null for ordinary keys, the position's block for hot ones. Runs one job over
+    the key columns.
     """
     sizes = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).drop("count")
     hot = sizes.limit(HOT_KEYS + 1).collect()
     cut = F.expr(f"({position}) div {span}")
     if not hot:
-        return df.withColumn(BLOCK, F.lit(None).cast("long")), False
+        return df, list(keys)
     if not keys or len(hot) > HOT_KEYS:
-        return df.withColumn(BLOCK, cut), True
+        return df.withColumn(BLOCK, cut), [*keys, BLOCK]
     renamed = [f"_hot_{k}" for k in keys]
     known = df.sparkSession.createDataFrame(hot, sizes.schema).toDF(*renamed).withColumn("_hot", F.lit(True))
     marked = df.join(F.broadcast(known), same_keys(df, known, keys, renamed), "left")
-    return marked.withColumn(BLOCK, F.when(F.col("_hot"), cut)).drop("_hot", *renamed), True
+    return marked.withColumn(BLOCK, F.when(F.col("_hot"), cut)).drop("_hot", *renamed), [*keys, BLOCK]
 
 
 def carry(rows: DataFrame, edges: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -80,13 +82,13 @@ def running_sum(
 ) -> DataFrame:
     """The sum up to each row of its key, or up to the row before it."""
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, was_cut = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
+    blocked, groups = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
     last = Window.currentRow if inclusive else -1
-    here = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    here = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     zero = F.lit(0)
     rows = blocked.withColumn(out, F.coalesce(F.sum(value).over(here), zero))
-    if not was_cut:
-        return rows.drop(BLOCK)
+    if groups == keys:
+        return rows
     totals = blocked.filter(F.col(BLOCK).isNotNull()).groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.withColumn("_before", F.sum("_total").over(earlier))
@@ -112,12 +114,12 @@ def shifted(
 ) -> DataFrame:
     """The value of the row before (or after) each row within its key."""
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, was_cut = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
-    here = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    blocked, groups = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
+    here = Window.partitionBy(*groups).orderBy(*order)
     step = F.lag if back else F.lead
     rows = blocked.withColumn(out, step(value).over(here))
-    if not was_cut:
-        return rows.drop(BLOCK)
+    if groups == keys:
+        return rows
     rows = rows.withColumn("_at_edge", step(F.lit(True)).over(here).isNull())
     pick = F.max_by if back else F.min_by
     edges = (
@@ -180,16 +182,16 @@ def halving_fold(
     weight doubled. Sums of that kind can be taken per block and added up.
     """
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, was_cut = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
-    from_end = Window.partitionBy(*keys, BLOCK).orderBy(*(F.col(c).desc() for c in order))
+    blocked, groups = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
+    from_end = Window.partitionBy(*groups).orderBy(*(F.col(c).desc() for c in order))
     half = F.lit(0.5)
     numbered = blocked.withColumn("_n", F.row_number().over(from_end))
-    parts = numbered.groupBy(*keys, BLOCK).agg(
+    parts = numbered.groupBy(*groups).agg(
         F.count("*").alias("_rows"),
         F.sum(value * F.pow(half, F.col("_n"))).alias("_part"),
         F.max_by(value, F.col("_n")).alias("_first"),
     )
-    if was_cut:
+    if groups != keys:
         later = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
         after = F.coalesce(F.sum("_rows").over(later), F.lit(0))
         parts = (

@@ -20,7 +20,17 @@ from freshet.streaming import runs
 from freshet.streaming.state import halving_fold_stream
 from suite.base import EV, clock, events, query, read
 from suite.grouped import CALLS, SCORES
-from suite.keyed import BLOCKED_SQL, FOLD_SQL, LOOKUP_SQL, SLIDING_SQL, blacklist, millionths, profiles, shown
+from suite.keyed import (
+    BLOCKED_SQL,
+    FOLD_SQL,
+    LOOKUP_SQL,
+    RANK_SQL,
+    SLIDING_SQL,
+    blacklist,
+    millionths,
+    profiles,
+    shown,
+)
 from suite.projections import FLIGHTS
 
 
@@ -204,3 +214,23 @@ def sql_over_documents(spark, d):
     logs = read(spark, d, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("level"))
     write_documents(logs, root, "server_logs")
     return PLANS["log_levels"].run(documents(spark, root, "server_logs", logs.schema, view="logs"))
+
+
+@query(RANK_SQL)
+def stream_rank_asof(spark, d):
+    """Ranks on micro-batches, with the totals before each carried along."""
+    rows = arriving(spark, d, "events").select(
+        "event_id",
+        F.col("user_id").cast("string").alias("player"),
+        F.get_json_object("props", "$.k").cast("int").alias("points"),
+    )
+    plan = PLANS["player_ranks"]
+    out = through(spark, "ranks", lambda path, check: plan.write(rows, path, check, seq="event_id"))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word")
+def stream_word_count(spark, d):
+    plan = PLANS["word_counts"]
+    texts = arriving(spark, d, "documents").select("text")
+    return spark.read.parquet(through(spark, "words", lambda path, check: plan.write(texts, path, check)))
