@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from freshet.functions.rules import label
 from freshet.functions.scalars import as_column
 
+SMALL_LEXICON = 100_000  # words that may be broadcast
+
 
 def contains_any(text: str | Column, words: Sequence[str]) -> Column:
     """Whether the lower-cased text holds one of the words anywhere in it."""
@@ -46,13 +48,21 @@ def lexicon_label(
 ) -> DataFrame:
     """Mean lexicon score per text, then POSITIVE, NEGATIVE or NEUTRAL.
 
-    ``lexicon`` has columns word and score, one row per word. The tokens of one
-    text lie in one input partition, so the partial sums leave about one row per
-    text for the shuffle. Texts without a scored word are neutral.
+    ``lexicon`` has columns word and score, one row per word. If it is small it
+    is broadcast: the tokens of a text then stay in one partition, and partial
+    sums leave about one row per text for the shuffle. A larger one is joined by
+    word, after counting each word once per text. Texts without a scored word
+    are neutral.
     """
     words = df.select(key, F.explode_outer(F.split(F.lower(text), " ", -1)).alias("word"))
-    scored = words.join(lexicon.select("word", "score"), "word", "left")
-    means = scored.groupBy(key).agg(F.avg("score").alias("polarity"))
+    scores = lexicon.select("word", "score")
+    if lexicon.limit(SMALL_LEXICON + 1).count() <= SMALL_LEXICON:
+        scored = words.join(F.broadcast(scores), "word", "left").withColumn("times", F.lit(1))
+    else:
+        scored = words.groupBy(key, "word").agg(F.count("*").alias("times")).join(scores, "word", "left")
+    known = F.when(F.col("score").isNotNull(), F.col("times"))
+    mean = F.try_divide(F.sum(F.col("score") * F.col("times")), F.sum(known))
+    means = scored.groupBy(key).agg(mean.alias("polarity"))
     return means.withColumn(out, polarity_label("polarity", high, low))
 
 

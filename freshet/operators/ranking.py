@@ -15,8 +15,11 @@ count is put together from three parts, none of which looks at all records:
 from __future__ import annotations
 
 import math
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +27,10 @@ from pyspark.sql.window import Window
 from freshet.operators.ordered import HOT_ROWS, running_sum, shifted
 from freshet.session import checkpoint_dir
 
+# The band functions travel to the executors by value, so the package need not
+# be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOW_BITS = 33  # monotonically_increasing_id: row number below, partition above
 
 

@@ -59,12 +59,22 @@ def route_pace(df: DataFrame) -> DataFrame:
 
 
 def _machine_means(df: DataFrame) -> DataFrame:
-    wear = F.col("vibration") * V.HEALTH_VIBRATION + F.col("temperature") * V.HEALTH_TEMPERATURE
-    return group_mean(
-        df.withColumn("health_score", F.lit(V.HEALTH_FULL) - wear),
+    """Means per machine, with the mean health taken from the means of the measures.
+
+    A row's health is 100 less weighted measures, so the mean is the same; but
+    whole-number measures then give one result in whatever order rows come.
+    """
+    vibration, temperature = F.col("vibration"), F.col("temperature")
+    means = group_agg(
+        df,
         "machine_id",
-        ["vibration", "temperature", "health_score"],
+        vibration=F.avg("vibration"),
+        temperature=F.avg("temperature"),
+        _shaking=F.avg(F.when(temperature.isNotNull(), vibration)),
+        _heat=F.avg(F.when(vibration.isNotNull(), temperature)),
     )
+    wear = F.col("_shaking") * V.HEALTH_VIBRATION + F.col("_heat") * V.HEALTH_TEMPERATURE
+    return means.withColumn("health_score", F.lit(V.HEALTH_FULL) - wear).drop("_shaking", "_heat")
 
 
 @plan(S.MACHINE, mode="per_batch")

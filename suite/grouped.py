@@ -316,9 +316,12 @@ def route_pace(spark, d):
 MACHINES = (
     "(SELECT l_partkey AS machine_id, l_quantity AS vibration, floor(l_extendedprice / 1000) AS temperature FROM lineitem)"
 )
+# From the means, whose sums of whole numbers are exact: a mean of exactly 40 must
+# not depend on the order in which rows are added up.
+MEAN_HEALTH = "100 - (avg(vibration) * 0.5::DOUBLE + avg(temperature) * 0.3::DOUBLE)"
 HEALTH = (
     "(SELECT machine_id, avg(vibration) AS vibration, avg(temperature) AS temperature, "
-    "round(avg(100 - (vibration * 0.5::DOUBLE + temperature * 0.3::DOUBLE)), 6) AS health_score "
+    f"round({MEAN_HEALTH}, 6) AS health_score "
     f"FROM {MACHINES} GROUP BY 1)"
 )
 
@@ -343,9 +346,9 @@ def worn_machines(spark, d):
 
 @query(
     "SELECT machine_id, avg(vibration) AS vibration, avg(temperature) AS temperature, "
-    "round(avg(100 - (vibration * 0.5::DOUBLE + temperature * 0.3::DOUBLE)), 6) AS health_score "
+    f"round({MEAN_HEALTH}, 6) AS health_score "
     f"FROM (SELECT machine_id, vibration * 2 AS vibration, temperature * 2 AS temperature FROM {MACHINES}) GROUP BY 1 "
-    "HAVING avg(100 - (vibration * 0.5::DOUBLE + temperature * 0.3::DOUBLE)) < 40"
+    f"HAVING {MEAN_HEALTH} < 40"
 )
 def machine_maintenance(spark, d):
     return PLANS["machine_maintenance"].run(worn_machines(spark, d)).withColumn(

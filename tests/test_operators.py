@@ -126,7 +126,9 @@ def test_keywords_first_list_wins(spark):
     assert [r["s"] for r in out.collect()] == ["P", "N", "-", "-"]
 
 
-def test_both_forms_of_lexicon_scoring_agree(spark):
+@pytest.mark.parametrize("small", [100, 1])
+def test_both_forms_of_lexicon_scoring_agree(spark, monkeypatch, small):
+    monkeypatch.setattr("freshet.functions.text.SMALL_LEXICON", small)
     words = {"good": 0.5, "bad": -0.5, "so": 0.0}
     texts = [(1, "Good good bad"), (2, "bad so so so so so"), (3, "bad"), (4, "nothing"), (5, None), (6, "")]
     df = spark.createDataFrame(texts, "id int, text string")
