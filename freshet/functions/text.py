@@ -16,17 +16,21 @@ from freshet.functions.scalars import as_column
 SMALL_LEXICON = 100_000  # words that may be broadcast
 
 
-def contains_any(text: str | Column, words: Sequence[str]) -> Column:
-    """Whether the lower-cased text holds one of the words anywhere in it."""
-    lowered = F.lower(as_column(text))
+def contains_any(lowered: Column, words: Sequence[str]) -> Column:
+    """Whether a lower-case text holds one of the words anywhere in it."""
     return reduce(or_, (lowered.contains(w.lower()) for w in words))
 
 
 def keyword_label(
     df: DataFrame, text: str, lists: Sequence[tuple[str, Sequence[str]]], out: str, default: str
 ) -> DataFrame:
-    """Labels a text by the first list with a word in it."""
-    return df.withColumn(out, label([(contains_any(text, ws), name) for name, ws in lists], default))
+    """Labels a text by the first list with a word in it.
+
+    The text is put in lower case once, in a column of its own.
+    """
+    lowered = df.withColumn("_lowered", F.lower(text))
+    rules = [(contains_any(F.col("_lowered"), words), name) for name, words in lists]
+    return lowered.withColumn(out, label(rules, default)).drop("_lowered")
 
 
 def tokens(df: DataFrame, text: str, out: str = "word", position: str | None = None) -> DataFrame:

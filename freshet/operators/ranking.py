@@ -20,7 +20,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -89,6 +89,10 @@ def _count_in_band(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": pdf["row"].to_numpy()[asks == 1], "above": above[asks == 1]})
 
 
+def _entry(at: str, weight: int, asks: int) -> Column:
+    return F.struct(F.col(at).alias("at"), F.lit(weight).alias("weight"), F.lit(asks).alias("asks"))
+
+
 def rank_asof(
     df: DataFrame,
     key: str,
@@ -106,28 +110,19 @@ def rank_asof(
     it grows with the square root of the record count, which keeps both the
     groups and the table of band sums far smaller than the data.
     """
-    scored = running_sum(df, key, seq, points, total, span=hot_rows, hot_rows=hot_rows)
-    spans = shifted(scored, key, seq, F.col(seq), "_until", back=False, span=hot_rows, hot_rows=hot_rows)
-    placed = positions(spans, [F.col(total), F.col(key), F.col(seq)], "_level")
-    in_time = positions(placed, [F.col(seq)], "_when")
-    count = in_time.count()
+    cut = {"span": hot_rows, "hot_rows": hot_rows}
+    in_time = positions(running_sum(df, key, seq, points, total, **cut), [F.col(seq)], "_when")
+    spans = shifted(in_time, key, "_when", F.col("_when"), "_until", back=False, **cut)
+    placed = positions(spans, [F.col(total), F.col(key), F.col("_when")], "_level")
+    count = placed.count()
     band = band or max(4096, 4 * math.isqrt(count))
 
-    # Ends are moments of other records, so they get their place in time by key.
-    ends = in_time.filter(F.col("_until").isNotNull()).select(F.col("_until").alias(seq), "_level")
-    moments = in_time.select(seq, "_when")
-    begun = in_time.select(F.col("_when").alias("at"), F.col("_level").alias("level"), F.lit(1).alias("weight"))
-    ended = ends.join(moments, seq).select(F.col("_when").alias("at"), F.col("_level").alias("level"), F.lit(-1))
-    marks = begun.union(ended.toDF("at", "level", "weight")).withColumns({"row": F.lit(-1).cast("long"), "asks": F.lit(0)})
-    asks = in_time.select(
-        F.col("_when").alias("at"),
-        F.col("_level").alias("level"),
-        F.lit(0).alias("weight"),
-        F.col("_when").alias("row"),
-        F.lit(1).alias("asks"),
-    )
+    # Each record is two points and one question.
+    entries = [_entry("_when", 1, asks=0), _entry("_until", -1, asks=0), _entry("_when", 0, asks=1)]
     both = (
-        marks.unionByName(asks)
+        placed.select(F.col("_when").alias("row"), F.col("_level").alias("level"), F.explode(F.array(*entries)).alias("_e"))
+        .select("row", "level", "_e.*")
+        .filter(F.col("at").isNotNull())
         .withColumns({"time_band": F.expr(f"at div {band}"), "level_band": F.expr(f"level div {band}")})
     )
     columns = ["row", "at", "level", "weight", "asks"]
@@ -160,5 +155,5 @@ def rank_asof(
     far = both.filter("asks = 1").select("row", "time_band", "level_band").join(sums, ["time_band", "level_band"])
     parts = same_time.union(same_level).union(far.select("row", "above"))
     ranks = parts.groupBy("row").agg(F.sum("above").alias(rank))
-    return in_time.join(ranks, in_time["_when"] == ranks["row"]).drop("_until", "_level", "_when", "row")
+    return placed.join(ranks, placed["_when"] == ranks["row"]).drop("_until", "_level", "_when", "row")
 

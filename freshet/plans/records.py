@@ -20,7 +20,7 @@ from freshet.plans import values as V
 from freshet.plans.base import plan
 from freshet.streaming.carried import rank_batches
 from freshet.streaming.runs import Batch
-from freshet.streaming.state import changed_stream, latched_stream, running_sum_stream
+from freshet.streaming.state import changed_stream, latched_stream, running_sum_stream, windowed_fold_stream
 
 ORDER = ("offset",)
 
@@ -145,7 +145,11 @@ def high_value_alerts(df: DataFrame) -> DataFrame:
     return high.select("id", message.alias("message"))
 
 
-@plan(S.SENSOR, mode="batch")
+def _folds_on_stream(df: DataFrame, size: str = "5 seconds", watermark: str = "0 seconds") -> DataFrame:
+    return windowed_fold_stream(df, "ts", size, ["sensor"], "seq", "temp", "folded", watermark)
+
+
+@plan(S.SENSOR, on_stream=_folds_on_stream)
 def sensor_folds(df: DataFrame, size: str = "5 seconds") -> DataFrame:
     """The halving fold of each sensor's values within each window."""
     return halving_fold(with_window(df, "ts", size), ["window_start", "window_end", "sensor"], "seq", "temp", "folded")

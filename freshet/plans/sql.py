@@ -68,7 +68,7 @@ def segment_spend(df: DataFrame) -> DataFrame:
 def sales_orders(df: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales with the status of their order."""
     return df.sparkSession.sql(
-        "SELECT s.sale_id, s.amount, o.orderstatus FROM {sales} s, {orders} o WHERE s.sale_id = o.orderkey",
+        "SELECT sale_id, amount, orderstatus FROM {sales} JOIN {orders} ON sale_id = orderkey",
         sales=df,
         orders=orders,
     )

@@ -8,14 +8,22 @@ call holds is bounded by the size of a micro-batch, which the source sets
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from freshet.operators.windows import with_window
+
+# The state functions travel to the executors by value, so the package need not
+# be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Step = Callable[[pd.DataFrame, tuple], tuple[pd.DataFrame, tuple]]
 
 
@@ -85,19 +93,51 @@ def latched_stream(
     )
 
 
+def _folded(values: pd.Series, before: float | None) -> pd.Series:
+    """The fold after each value: an exponential mean of weight 1/2 that starts
+    at the state so far, or at the first value."""
+    values = values.astype("float64").reset_index(drop=True)
+    if before is None:
+        return values.ewm(alpha=0.5, adjust=False).mean()
+    with_state = pd.concat([pd.Series([before]), values], ignore_index=True)
+    return with_state.ewm(alpha=0.5, adjust=False).mean().iloc[1:].reset_index(drop=True)
+
+
 def halving_fold_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str, out: str) -> DataFrame:
     """The fold s = (s + v) / 2 after each record of its key."""
 
     def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
-        # s after n values is an exponential mean with weight 1/2 whose first
-        # value is the state so far.
-        values = rows[value].astype("float64")
-        if state[0] is not None:
-            values = pd.concat([pd.Series([state[0]]), values], ignore_index=True)
-        folded = values.ewm(alpha=0.5, adjust=False).mean()
-        folded = folded.iloc[len(folded) - len(rows):].reset_index(drop=True)
+        folded = _folded(rows[value], state[0])
         return rows.assign(**{out: folded}), (float(folded.iloc[-1]),)
 
     return keyed(
         df, keys, seq, step, T.StructType().add(out, "double"), T.StructType().add("folded", "double"), (None,)
     )
+
+
+def windowed_fold_stream(
+    df: DataFrame, ts: str, size: str, keys: Sequence[str], seq: str, value: str, out: str, watermark: str
+) -> DataFrame:
+    """The fold s = (s + v) / 2 per key and window, once the watermark has passed the window.
+
+    A window's state is one number, dropped when its result goes out.
+    """
+    groups = ["window_start", "window_end", *keys]
+    rows = with_window(df.withWatermark(ts, watermark), ts, size).select(*groups, ts, seq, value)
+    result = T.StructType([rows.schema[c] for c in groups]).add(out, "double")
+    names = result.names
+
+    def call(key: tuple, chunks: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            (folded,) = held.get
+            held.remove()
+            yield pd.DataFrame([(*key, folded)], columns=names)
+            return
+        rows = pd.concat(list(chunks), ignore_index=True).sort_values(seq)
+        folded = _folded(rows[value], held.get[0] if held.exists else None)
+        held.update((float(folded.iloc[-1]),))
+        held.setTimeoutTimestamp(pd.Timestamp(key[1]).value // 1_000_000)  # the window's end, in ms
+
+    state = T.StructType().add("folded", "double")
+    grouped = rows.groupBy(*groups)
+    return grouped.applyInPandasWithState(call, result, state, "append", GroupStateTimeout.EventTimeTimeout)

@@ -25,6 +25,9 @@ from suite.keyed import (
     FOLD_SQL,
     LOOKUP_SQL,
     RANK_SQL,
+    SIX,
+    SIX_END,
+    SIX_START,
     SLIDING_SQL,
     blacklist,
     millionths,
@@ -234,3 +237,15 @@ def stream_word_count(spark, d):
     plan = PLANS["word_counts"]
     texts = arriving(spark, d, "documents").select("text")
     return spark.read.parquet(through(spark, "words", lambda path, check: plan.write(texts, path, check)))
+
+
+@query(
+    f"SELECT event_type AS sensor, {SIX_START} AS window_start, {SIX_END} AS window_end, {FOLD_SQL} FROM events "
+    f"WHERE floor(epoch(ts) / {SIX}) < (SELECT floor(epoch(max(ts)) / {SIX}) FROM events) GROUP BY 1, 2, 3"
+)
+def stream_windowed_fold(spark, d):
+    """Folds of the windows the watermark has closed: all but the newest."""
+    rows = arriving(spark, d, "events").select(
+        F.col("event_id").alias("seq"), F.col("event_type").alias("sensor"), F.col("value").alias("temp"), "ts"
+    )
+    return millionths(shown(appended(spark, "folds", PLANS["sensor_folds"].run(rows, size="6 hours"))))

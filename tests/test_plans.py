@@ -1,9 +1,10 @@
 """Plans on fixtures with a known anomaly, from log records and files to results."""
 
 import datetime as dt
+import random
 
 import pytest
-from feeds import log_rows, write_log
+from feeds import log_rows, write_files, write_log
 from pyspark.sql import functions as F
 
 from freshet import schemas as S
@@ -11,7 +12,8 @@ from freshet.operators.clusters import fit_clusters
 from freshet.operators.decode import decode_json
 from freshet.plans.base import PLANS as REGISTERED
 from freshet.plans.catalog import PLANS
-from freshet.sources.files import csv_arrivals, csv_table, parquet_arrivals
+from freshet.sinks.documents import append_documents
+from freshet.sources.files import csv_arrivals, csv_table, documents, parquet_arrivals
 from freshet.sources.log import folder_stream
 from freshet.streaming import runs
 
@@ -247,6 +249,7 @@ def test_player_ranks(spark):
 
 
 def test_words(spark):
+    # The texts and their counts.
     texts = ["hello flink", "streaming is cool", "hello cloud", "flink is fast"]
     out = {r["word"]: r["count"] for r in run(spark, "word_counts", [{"text": t} for t in texts]).collect()}
     assert out == {"hello": 2, "flink": 2, "is": 2, "streaming": 1, "cool": 1, "cloud": 1, "fast": 1}
@@ -267,6 +270,7 @@ def test_high_value_messages(spark):
 
 
 def test_sensor_folds(spark):
+    # The readings in their order and the two folds.
     temps = [("s1", 20), ("s1", 22), ("s2", 15), ("s1", 25), ("s2", 18), ("s1", 23), ("s2", 16), ("s1", 24)]
     rows = [{"seq": i, "sensor": s, "temp": float(t), "ts": AT} for i, (s, t) in enumerate(temps)]
     assert {r["sensor"]: r["folded"] for r in run(spark, "sensor_folds", rows).collect()} == {"s1": 23.5, "s2": 16.25}
@@ -354,6 +358,35 @@ def test_ranks_and_totals_on_a_stream(spark, tmp_path):
     assert column(out, "total_score", "current_rank") == [(10, 0), (30, 0), (15, 1), (35, 0), (99, 0), (215, 0)]
 
 
+def test_enriched_documents_on_a_stream(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    views = [{"user_id": "u", "product_id": i, "category": "books"} for i in range(6)]
+    write_log(spark, folder, views, 3)
+    out = PLANS["interest_profile"].run_documents(folder_stream(spark, folder, 1))
+    each = lambda batch, n: append_documents(batch, str(tmp_path), "profiles", n)
+    finish(runs.to_batches(out, each, str(tmp_path / "c")))
+    back = documents(spark, str(tmp_path), "profiles", out.schema)
+    assert sorted((r["parsed_data"]["product_id"], r["enriched_interest"]) for r in back.collect()) == [
+        (i, i + 1) for i in range(6)
+    ]
+
+
+def test_sensor_folds_on_a_stream(spark, tmp_path):
+    """Windows come out once the watermark has passed them, their state is gone then."""
+    rng = random.Random(8)
+    rows = [(i, rng.choice("ab"), float(rng.randint(10, 30)), AT + dt.timedelta(seconds=i)) for i in range(60)]
+    closing = [(1000 + i, "a", 0.0, AT + dt.timedelta(seconds=1000 + i)) for i in range(3)]
+    folder = str(tmp_path / "in")
+    write_files(spark, folder, rows + closing, S.SENSOR, 9)
+    plan = PLANS["sensor_folds"]
+    stream = parquet_arrivals(spark, folder, S.SENSOR, files_per_trigger=1)
+    finish(plan.write(stream, str(tmp_path / "t"), str(tmp_path / "c")))
+    got = spark.read.parquet(str(tmp_path / "t"))
+    want = plan.run(spark.createDataFrame(rows, S.SENSOR))
+    by_window = lambda df: {(r["window_start"], r["window_end"], r["sensor"]): r["folded"] for r in df.collect()}
+    assert got.count() == want.count() and by_window(got) == pytest.approx(by_window(want))
+
+
 def test_scores_by_a_model_on_a_stream(spark, tmp_path):
     rows = [(str(i), 10.0 * i, 1.0, 0.0) for i in range(20)]
     spark.createDataFrame(rows, S.TRANSACTION).write.parquet(str(tmp_path / "in"))
