@@ -26,7 +26,7 @@ from freshet.functions.scalars import as_column
 
 HOT_ROWS = 4_000_000  # rows of one key that a single task may sort
 HOT_KEYS = 10_000  # hot keys that may be broadcast; beyond it all keys are cut
-BLOCK = "_block"
+KEY, BLOCK = "_key", "_block"
 
 
 def listed(names: str | Sequence[str]) -> list[str]:
@@ -42,31 +42,34 @@ def cut_hot_keys(
 ) -> tuple[DataFrame, list[str]]:
     """The frame, and the columns whose groups are small enough for one task.
 
-    Without hot keys these are the keys. Otherwise ``_block`` is added to them:
-    null for ordinary keys, the position's block for hot ones. Runs one job over
-    the key columns.
+    Without hot keys these are the keys. Otherwise they are two new columns: the
+    keys as one ``_key``, which is never null and so can be joined on as it is
+    partitioned, and ``_block``: null for ordinary keys, the position's block for
+    hot ones. Runs one job over the key columns.
     """
     sizes = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).drop("count")
     hot = sizes.limit(HOT_KEYS + 1).collect()
-    cut = F.expr(f"({position}) div {span}")
     if not hot:
         return df, list(keys)
-    if not keys or len(hot) > HOT_KEYS:
-        return df.withColumn(BLOCK, cut), [*keys, BLOCK]
-    renamed = [f"_hot_{k}" for k in keys]
-    known = df.sparkSession.createDataFrame(hot, sizes.schema).toDF(*renamed).withColumn("_hot", F.lit(True))
-    marked = df.join(F.broadcast(known), same_keys(df, known, keys, renamed), "left")
-    return marked.withColumn(BLOCK, F.when(F.col("_hot"), cut)).drop("_hot", *renamed), [*keys, BLOCK]
-
-
-def carry(rows: DataFrame, edges: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Joins per-block values to the rows of their block."""
-    renamed = [f"_carry_{k}" for k in keys]
-    side = edges.select(
-        *(F.col(k).alias(r) for k, r in zip(keys, renamed, strict=True)), F.col(BLOCK).alias("_carry_block"), *names
-    )
-    on = same_keys(rows, side, keys, renamed) & (rows[BLOCK] == side["_carry_block"])
-    return rows.join(side, on, "left").drop("_carry_block", *renamed)
+    block = F.expr(f"({position}) div {span}")
+    if keys and len(hot) <= HOT_KEYS:
+        renamed = [f"_hot_{k}" for k in keys]
+        known = df.sparkSession.createDataFrame(hot, sizes.schema).toDF(*renamed).withColumn("_hot", F.lit(True))
+        df = df.join(F.broadcast(known), same_keys(df, known, keys, renamed), "left").drop(*renamed)
+        block = F.when(F.col("_hot"), block)
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
+    return df.withColumns({KEY: key, BLOCK: block}).drop("_hot"), [KEY, BLOCK]
+
+
+def carry(rows: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """Joins per-block values to the rows of their block, which lie together already."""
+    side = edges.select(F.col(KEY).alias("_carry_key"), F.col(BLOCK).alias("_carry_block"), name)
+    on = (rows[KEY] == side["_carry_key"]) & (rows[BLOCK] == side["_carry_block"])
+    return rows.join(side, on, "left").drop("_carry_key", "_carry_block")
+
+
+def hot_blocks(blocked: DataFrame) -> DataFrame:
+    return blocked.filter(F.col(BLOCK).isNotNull())
 
 
 def running_sum(
@@ -89,11 +92,10 @@ def running_sum(
     rows = blocked.withColumn(out, F.coalesce(F.sum(value).over(here), zero))
     if groups == keys:
         return rows
-    totals = blocked.filter(F.col(BLOCK).isNotNull()).groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.withColumn("_before", F.sum("_total").over(earlier))
-    joined = carry(rows, carried, keys, ["_before"])
-    return joined.withColumn(out, F.col(out) + F.coalesce("_before", zero)).drop("_before", BLOCK)
+    totals = hot_blocks(blocked).groupBy(*groups).agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    joined = carry(rows, totals.withColumn("_before", F.sum("_total").over(earlier)), "_before")
+    return joined.withColumn(out, F.col(out) + F.coalesce("_before", zero)).drop("_before", *groups)
 
 
 def running_count(df: DataFrame, keys, order, out: str, **options) -> DataFrame:
@@ -122,15 +124,11 @@ def shifted(
         return rows
     rows = rows.withColumn("_at_edge", step(F.lit(True)).over(here).isNull())
     pick = F.max_by if back else F.min_by
-    edges = (
-        blocked.filter(F.col(BLOCK).isNotNull())
-        .groupBy(*keys, BLOCK)
-        .agg(pick(value, F.struct(*order)).alias("_edge"))
-    )
-    neighbour = step("_edge").over(Window.partitionBy(*keys).orderBy(BLOCK))
-    joined = carry(rows, edges.withColumn("_across", neighbour), keys, ["_across"])
+    edges = hot_blocks(blocked).groupBy(*groups).agg(pick(value, F.struct(*order)).alias("_edge"))
+    neighbour = step("_edge").over(Window.partitionBy(KEY).orderBy(BLOCK))
+    joined = carry(rows, edges.withColumn("_across", neighbour), "_across")
     edge_value = F.when(F.col("_at_edge"), F.col("_across")).otherwise(F.col(out))
-    return joined.withColumn(out, edge_value).drop("_across", "_at_edge", BLOCK)
+    return joined.withColumn(out, edge_value).drop("_across", "_at_edge", *groups)
 
 
 def changed(df: DataFrame, keys, order, column: str, out: str, **options) -> DataFrame:
@@ -192,16 +190,17 @@ def halving_fold(
         F.max_by(value, F.col("_n")).alias("_first"),
     )
     if groups != keys:
-        later = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        later = Window.partitionBy(KEY).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
         after = F.coalesce(F.sum("_rows").over(later), F.lit(0))
         parts = (
             parts.withColumn("_part", F.col("_part") * F.pow(half, after))
-            .groupBy(*keys)
+            .groupBy(KEY)
             .agg(
                 F.sum("_rows").alias("_rows"),
                 F.sum("_part").alias("_part"),
                 F.min_by("_first", F.coalesce(F.col(BLOCK), F.lit(0))).alias("_first"),
             )
+            .select("*", f"{KEY}.*")
         )
     start = F.col("_first") * F.pow(half, F.col("_rows"))
     return parts.select(*keys, (F.col("_part") + start).alias(out))
