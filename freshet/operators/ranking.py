@@ -137,9 +137,10 @@ def rank_asof(
 
     last = (count - 1) // band if count else 0
     cells = both.groupBy("time_band", "level_band").agg(F.sum("weight").alias("net"))
+    bands = F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))
     grid = (
         df.sparkSession.range(0, last + 1)
-        .select(F.col("id").alias("time_band"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("level_band"))
+        .select(F.col("id").alias("time_band"), F.explode(bands).alias("level_band"))
         .join(cells, ["time_band", "level_band"], "left")
         .withColumn("net", F.coalesce("net", F.lit(0)))
     )

@@ -59,11 +59,18 @@ class Plan:
         added = [c for c in done.columns if c not in ("value", *self.keep, *payload)]
         return done.select("value", *added, F.struct(*payload).alias("parsed_data"))
 
-    def write(self, stream: DataFrame, path: str, checkpoint: str, **tables) -> DataStreamWriter:
-        """A stream of decoded rows through the plan into a Parquet folder."""
+    def write(
+        self, stream: DataFrame, path: str, checkpoint: str, keyed_state: bool = False, **tables
+    ) -> DataStreamWriter:
+        """A stream of decoded rows through the plan into a Parquet folder.
+
+        Plans with state per key carry it between micro-batches, which is safe
+        for hot keys. ``keyed_state`` uses Spark's state store instead: better
+        for very many keys of which none is hot.
+        """
         if self.mode == "batch":
             raise ValueError(f"{self.name} has no stream form")
-        if self.mode == "carried":
+        if self.on_batches and not (keyed_state and self.on_stream):
             each = self.on_batches(f"{checkpoint}-carried", lambda b, n: append_batch(b, path, n), **tables)
             return runs.to_batches(stream, each, checkpoint)
         if self.mode == "per_batch":

@@ -18,7 +18,7 @@ from freshet.operators.ranking import rank_asof
 from freshet.operators.windows import with_window
 from freshet.plans import values as V
 from freshet.plans.base import plan
-from freshet.streaming.carried import rank_batches
+from freshet.streaming.carried import changed_batches, latched_batches, rank_batches, running_count_batches
 from freshet.streaming.runs import Batch
 from freshet.streaming.state import changed_stream, latched_stream, running_sum_stream, windowed_fold_stream
 
@@ -29,7 +29,11 @@ def _interest_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
     return running_sum_stream(df, ["user_id", "category"], seq, None, "enriched_interest")
 
 
-@plan(S.PAGE_VIEW, on_stream=_interest_on_stream, keep=ORDER)
+def _interest_on_batches(folder: str, sink: Batch, seq: str = "offset", **cut) -> Batch:
+    return running_count_batches(["user_id", "category"], seq, "enriched_interest", folder, sink, **cut)
+
+
+@plan(S.PAGE_VIEW, on_stream=_interest_on_stream, keep=ORDER, on_batches=_interest_on_batches)
 def interest_profile(df: DataFrame, seq: str = "offset") -> DataFrame:
     """How often the user has seen the category so far."""
     return running_count(df, ["user_id", "category"], seq, "enriched_interest")
@@ -47,7 +51,11 @@ def _card_alerts_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
     return changed_stream(df, "card_id", seq, "country", "fraud_alert")
 
 
-@plan(S.CARD_USE, on_stream=_card_alerts_on_stream, keep=ORDER)
+def _card_alerts_on_batches(folder: str, sink: Batch, seq: str = "offset", **cut) -> Batch:
+    return changed_batches("card_id", seq, "country", "fraud_alert", folder, sink, **cut)
+
+
+@plan(S.CARD_USE, on_stream=_card_alerts_on_stream, keep=ORDER, on_batches=_card_alerts_on_batches)
 def card_alerts(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Whether the card is used in another country than the time before."""
     return changed(df, "card_id", seq, "country", "fraud_alert")
@@ -66,8 +74,8 @@ def zone_violations(df: DataFrame, planned: DataFrame) -> DataFrame:
     return expected.withColumn("violation", F.col("current_zone") != F.col("planned_zone")).drop("planned_zone")
 
 
-def _ranks_on_batches(folder: str, sink: Batch, seq: str = "offset") -> Batch:
-    return rank_batches("player", seq, "points", folder, sink)
+def _ranks_on_batches(folder: str, sink: Batch, seq: str = "offset", **options) -> Batch:
+    return rank_batches("player", seq, "points", folder, sink, **options)
 
 
 @plan(S.PLAYER, mode="carried", keep=ORDER, on_batches=_ranks_on_batches)
@@ -92,7 +100,11 @@ def _tags_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
     return running_sum_stream(df, ["tag"], seq, None, "tag_total")
 
 
-@plan(S.POST, on_stream=_tags_on_stream, keep=ORDER)
+def _tags_on_batches(folder: str, sink: Batch, seq: str = "offset", **cut) -> Batch:
+    return running_count_batches("tag", seq, "tag_total", folder, sink, **cut)
+
+
+@plan(S.POST, on_stream=_tags_on_stream, keep=ORDER, on_batches=_tags_on_batches)
 def tag_totals(df: DataFrame, seq: str = "offset") -> DataFrame:
     """How often the tag has been used so far."""
     return running_count(df, "tag", seq, "tag_total")
@@ -115,7 +127,14 @@ def _logins_on_stream(df: DataFrame, seq: str = "offset", blacklist: DataFrame |
     return out.drop("_seeded")
 
 
-@plan(S.LOGIN, on_stream=_logins_on_stream, keep=ORDER)
+def _logins_on_batches(
+    folder: str, sink: Batch, seq: str = "offset", blacklist: DataFrame | None = None, **cut
+) -> Batch:
+    failing = F.col("status") == V.LOGIN_FAILED
+    return latched_batches("src_ip", seq, failing, "blocked", V.LOGIN_FAILURES, folder, sink, blacklist, **cut)
+
+
+@plan(S.LOGIN, on_stream=_logins_on_stream, keep=ORDER, on_batches=_logins_on_batches)
 def login_blocks(df: DataFrame, seq: str = "offset", blacklist: DataFrame | None = None) -> DataFrame:
     """Whether the address was blocked before this login."""
     failing = F.col("status") == V.LOGIN_FAILED

@@ -17,11 +17,19 @@ def schema(**fields: str) -> T.StructType:
 
 
 # A log record as the message broker delivers it.
-LOG = schema(key="binary", value="binary", topic="string", partition="integer", offset="long", timestamp="timestamp")
+LOG = schema(
+    key="binary", value="binary", topic="string", partition="integer", offset="long", timestamp="timestamp",
+)
 
 # JSON payloads.
-FLIGHT = schema(timestamp="timestamp", flight_id="string", altitude="integer", speed="integer", engine_temp="integer", fuel_level="integer")
-VITALS = schema(patient_id="integer", timestamp="double", heart_rate="integer", systolic_bp="integer", diastolic_bp="integer", spo2="integer")
+FLIGHT = schema(
+    timestamp="timestamp", flight_id="string", altitude="integer", speed="integer", engine_temp="integer",
+    fuel_level="integer",
+)
+VITALS = schema(
+    patient_id="integer", timestamp="double", heart_rate="integer", systolic_bp="integer",
+    diastolic_bp="integer", spo2="integer",
+)
 TRANSACTION = schema(transaction_id="string", amount="double", distance_km="double", timestamp="double")
 STOCK = schema(symbol="string", price="float", timestamp="double")
 COMMENT = schema(text="string", timestamp="double")
@@ -45,18 +53,41 @@ TYPED_EVENT = schema(tipo="string")
 CHANGED_ROW = schema(id="integer", status="string")
 
 # CSV tables.
-VEHICLE = schema(vehicle_id="integer", speed_kmh="double", engine_rpm="double", oil_temp="double", timestamp="timestamp", driving_style="string")
-VEHICLE_LOG = schema(vehicle_id="integer", speed_kmh="double", rpm="double", oil_temp="double", timestamp="timestamp", aggressive_flag="double")
+VEHICLE = schema(
+    vehicle_id="integer", speed_kmh="double", engine_rpm="double", oil_temp="double", timestamp="timestamp",
+    driving_style="string",
+)
+VEHICLE_LOG = schema(
+    vehicle_id="integer", speed_kmh="double", rpm="double", oil_temp="double", timestamp="timestamp",
+    aggressive_flag="double",
+)
 TRAFFIC = schema(intersection_id="string", timestamp="timestamp", vehicle_count="integer", avg_speed="double")
-ROUTE = schema(route_id="string", truck_id="integer", timestamp="timestamp", distance_km="double", duration_min="double", fuel_consumed_l="double")
-DELIVERY = schema(route_id="string", truck_id="integer", delivery_time_min="double", distance_km="double", fuel_consumed_l="double")
+ROUTE = schema(
+    route_id="string", truck_id="integer", timestamp="timestamp", distance_km="double",
+    duration_min="double", fuel_consumed_l="double",
+)
+DELIVERY = schema(
+    route_id="string", truck_id="integer", delivery_time_min="double", distance_km="double",
+    fuel_consumed_l="double",
+)
 MACHINE = schema(machine_id="string", timestamp="timestamp", vibration="double", temperature="double")
-SOIL = schema(zone_id="string", sensor_id="string", timestamp="timestamp", moisture_percent="double", temperature_c="double")
-CALL = schema(call_id="integer", tower_id="string", timestamp="timestamp", duration_sec="double", status="string")
+SOIL = schema(
+    zone_id="string", sensor_id="string", timestamp="timestamp", moisture_percent="double",
+    temperature_c="double",
+)
+CALL = schema(
+    call_id="integer", tower_id="string", timestamp="timestamp", duration_sec="double", status="string",
+)
 WEATHER = schema(station_id="string", timestamp="timestamp", temp_c="double", humidity="double")
 WEATHER_YEAR = schema(station_id="string", timestamp="string", temperature="double", humidity="double")
-BOOKING = schema(hotel_id="string", booking_id="integer", check_in="timestamp", nights="integer", price="double", status="string")
-BOOKING_MONTH = schema(booking_id="integer", hotel_id="string", check_in="timestamp", nights="integer", price_per_night="double", status="string")
+BOOKING = schema(
+    hotel_id="string", booking_id="integer", check_in="timestamp", nights="integer", price="double",
+    status="string",
+)
+BOOKING_MONTH = schema(
+    booking_id="integer", hotel_id="string", check_in="timestamp", nights="integer",
+    price_per_night="double", status="string",
+)
 EXAM_EVENT = schema(student_id="string", exam_id="string", event="string", duration="double")
 EXAM_LOG = schema(exam_id="string", student_id="string", event_type="string", time_spent_sec="double")
 

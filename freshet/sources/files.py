@@ -29,7 +29,9 @@ def csv_arrivals(
     return reader.csv(folder)
 
 
-def parquet_arrivals(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+def parquet_arrivals(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -35,7 +35,9 @@ def to_archive(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     )
 
 
-def to_documents(df: DataFrame, root: str, resource: str, checkpoint: str, connector: str | None = None, **options) -> DataStreamWriter:
+def to_documents(
+    df: DataFrame, root: str, resource: str, checkpoint: str, connector: str | None = None, **options
+) -> DataStreamWriter:
     """Append-only document folder, or a document store's connector."""
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if connector:

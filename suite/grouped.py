@@ -76,8 +76,8 @@ def multi_stats(spark, d):
     stats = agg_multi(
         read(spark, d, "lineitem"), "l_returnflag", ["l_quantity", "l_extendedprice"], ["mean", "max", "std"]
     )
-    rounded = {f"{c}_{f}": F.round(f"{c}_{f}", n) for c, n in (("l_quantity", 6), ("l_extendedprice", 4)) for f in ("mean", "std")}
-    return stats.withColumns(rounded)
+    digits = {"l_quantity": 6, "l_extendedprice": 4}
+    return stats.withColumns({f"{c}_{f}": F.round(f"{c}_{f}", n) for c, n in digits.items() for f in ("mean", "std")})
 
 
 @query(
@@ -93,7 +93,10 @@ def conditional_count(spark, d):
     )
 
 
-CALLS = "(SELECT event_id AS call_id, user_id AS tower_id, CASE WHEN event_type = 'error' THEN 'DROP' ELSE 'OK' END AS status FROM events)"
+CALLS = (
+    "(SELECT event_id AS call_id, user_id AS tower_id, "
+    "CASE WHEN event_type = 'error' THEN 'DROP' ELSE 'OK' END AS status FROM events)"
+)
 TOWERS = (
     "(SELECT tower_id, count(call_id) AS total_calls, count(*) FILTER (status = 'DROP') AS dropped_calls, "
     f"CAST(count(*) FILTER (status = 'DROP') AS DOUBLE) / count(call_id) AS drop_rate FROM {CALLS} GROUP BY tower_id)"
@@ -216,7 +219,10 @@ def sorted_stats(spark, d):
     return ranked(parts(spark, d), "mean_quantity", ["l_partkey"])
 
 
-TRAFFIC = "(SELECT l_partkey AS intersection_id, avg(l_quantity) AS vehicle_count, avg(l_linenumber) AS avg_speed FROM lineitem GROUP BY 1)"
+TRAFFIC = (
+    "(SELECT l_partkey AS intersection_id, avg(l_quantity) AS vehicle_count, avg(l_linenumber) AS avg_speed "
+    "FROM lineitem GROUP BY 1)"
+)
 
 
 def traffic(spark, d):

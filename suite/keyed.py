@@ -315,7 +315,10 @@ def trade_action(spark, d):
     return PLANS["trade_actions"].run(quotes(spark, d))
 
 
-@query("SELECT -CAST(sum(CASE WHEN floor(value) < 150 THEN CAST(floor(value) AS BIGINT) ELSE 0 END) AS BIGINT) AS balance_usd FROM events")
+@query(
+    "SELECT -CAST(sum(CASE WHEN floor(value) < 150 THEN CAST(floor(value) AS BIGINT) ELSE 0 END) AS BIGINT) "
+    "AS balance_usd FROM events"
+)
 def trade_balance(spark, d):
     return PLANS["trade_balance"].run(quotes(spark, d))
 

@@ -63,6 +63,14 @@ def appended(spark, name, df):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def carried(spark, name, plan, stream, **tables):
+    """A plan whose state goes from micro-batch to micro-batch, with small blocks."""
+    write = lambda path, check: PLANS[plan].write(
+        stream, path, check, seq="event_id", span=500, hot_rows=60, **tables
+    )
+    return spark.read.parquet(through(spark, name, write)).drop("batch_id")
+
+
 @query(SLIDING_SQL)
 def stream_sliding_avg(spark, d):
     stream = arriving(spark, d, "events")
@@ -98,8 +106,9 @@ def stream_running_interest(spark, d):
     "SELECT event_id, event_type AS tag, count(*) OVER (PARTITION BY event_type ORDER BY event_id) AS tag_total FROM events"
 )
 def stream_tag_totals(spark, d):
+    """State carried between micro-batches, the few hot tags cut into blocks."""
     posts = arriving(spark, d, "events").select("event_id", F.col("event_type").alias("tag"))
-    return appended(spark, "tags", PLANS["tag_totals"].run(posts, seq="event_id"))
+    return carried(spark, "tags", "tag_totals", posts)
 
 
 @query(
@@ -113,17 +122,25 @@ def stream_location_change(spark, d):
     return appended(spark, "cards", PLANS["card_alerts"].run(cards, seq="event_id"))
 
 
-@query(BLOCKED_SQL)
-def stream_blacklist_latch(spark, d):
-    logins = arriving(spark, d, "events").select(
+def login_stream(spark, d):
+    return arriving(spark, d, "events").select(
         "event_id",
         F.col("user_id").alias("src_ip"),
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("status"),
     )
-    blocked = PLANS["login_blocks"].run(logins, seq="event_id", blacklist=blacklist(spark, d))
+
+
+@query(BLOCKED_SQL)
+def stream_blacklist_latch(spark, d):
+    blocked = PLANS["login_blocks"].run(login_stream(spark, d), seq="event_id", blacklist=blacklist(spark, d))
     return appended(spark, "logins", blocked)
 
 
+@query(BLOCKED_SQL)
+def stream_blacklist_carried(spark, d):
+    return carried(spark, "blocked", "login_blocks", login_stream(spark, d), blacklist=blacklist(spark, d))
+
+
 @query(f"SELECT user_id, {FOLD_SQL} FROM events GROUP BY user_id")
 def stream_pairwise_fold(spark, d):
     rows = arriving(spark, d, "events").select("event_id", "user_id", "value")
