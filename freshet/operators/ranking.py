@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from freshet.operators.ordered import HOT_ROWS, running_sum, shifted
-from freshet.session import checkpoint_dir
+from freshet.session import shared_path
 
 # The band functions travel to the executors by value, so the package need not
 # be installed there.
@@ -37,11 +37,13 @@ LOW_BITS = 33  # monotonically_increasing_id: row number below, partition above
 def positions(df: DataFrame, order: list, out: str) -> DataFrame:
     """Numbers all rows from 0 in the given order, without a single-task sort.
 
-    The rows are range partitioned and sorted. The result is checkpointed, so
-    that the partition sizes and the rows come from the same partitioning.
+    The rows are range partitioned, sorted and written to a table in the shared
+    folder, so that the partition sizes and the rows come from the same
+    partitioning, however often they are read or a task is run again.
     """
-    checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    path = shared_path(df.sparkSession, "positions")
+    df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    ordered = df.sparkSession.read.parquet(path)
     numbered = ordered.withColumns(
         {
             "_part": F.shiftright("_id", LOW_BITS),
