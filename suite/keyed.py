@@ -221,7 +221,8 @@ def periodic_type_count(spark, d):
 # A fold of values with two decimals often ends on a 5, so it is not rounded but
 # cut at a place that no such value can hit.
 FOLD_SQL = (
-    "floor(list_reduce(list(value ORDER BY event_id), lambda a, b: (a + b) / 2) * 1000000 + 0.3::DOUBLE) AS folded_millionths"
+    "CAST(floor(list_reduce(list(value ORDER BY event_id), lambda a, b: (a + b) / 2) * 1000000 + 0.3::DOUBLE) AS BIGINT) "
+    "AS folded_millionths"
 )
 
 

@@ -32,8 +32,21 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
+KINDS = {"bigint": "integer", "int": "integer", "double": "double", "string": "varchar", "boolean": "boolean"}
+
+
+def kinds(connection, df, sql: str) -> tuple[dict, dict]:
+    """Column kinds here and in SQL; integers of any width are one kind."""
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    want = {r[0]: "integer" if str(r[1]) in ("BIGINT", "INTEGER") else str(r[1]).lower() for r in described}
+    return {name: KINDS.get(kind, kind) for name, kind in df.dtypes}, want
+
+
 def difference(connection, df, sql: str) -> str | None:
     """None if both give the same rows, else what differs."""
+    here, there = kinds(connection, df, sql)
+    if here != there:
+        return f"column kinds {here}, expected {there}"
     want = connection.execute(sql)
     names, expected = rows_of([c[0] for c in want.description], want.fetchall())
     got_names, got = rows_of(df.columns, df.collect())
