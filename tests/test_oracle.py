@@ -4,12 +4,13 @@ import os
 
 import oracle
 import pytest
+import suite.base
 
 import __spark_entry__ as entry_points
 from freshet.session import configure
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = suite.base.QUERIES, suite.base.ORACLE
 
 
 @pytest.fixture(scope="module")
