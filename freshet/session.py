@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +63,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; no two calls return the same one."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, whose Python may not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_freshet_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="freshet-package-"), "freshet_package.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, files in os.walk(here):
+            for file in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, file)
+                bundle.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    context._freshet_shipped = True
