@@ -14,6 +14,7 @@ Decoding reads off the labels of the arcs.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +32,12 @@ from pyspark.sql import types as T
 
 from freshet.llm.chunks import LETTERS, ChunkCache, in_letters, sliced
 
-TABLE_ENTRIES = 1_000_000  # arcs that one worker remembers
 OUT_BYTES = 8 << 20
 # Fixed value: the word pattern of byte-level tokenizers.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_CODECS: dict[str, Codec] = {}
+# Entries that one worker remembers.
+CHUNKS, PLAIN_WORDS, OTHER_WORDS, TABLE_ENTRIES = 300_000, 800_000, 100_000, 500_000
+_CODERS: dict = {}
 
 
 class Automaton:
@@ -143,33 +146,36 @@ class Automaton:
         return path
 
 
-class Codec:
-    """Encodes and decodes with a byte-level tokenizer file."""
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
+def content_of(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+class Encoder:
+    """Ids of whole texts with a byte-level tokenizer file."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            content = json.load(file)
-        model, added = content["model"], content["added_tokens"]
-        self.automaton = Automaton(model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]])
-        letters = {c: b for b, c in LETTERS.items()}
-        self.special = {a["content"]: a["id"] for a in added}
-        ids = max([*model["vocab"].values(), *self.special.values()]) + 1
-        self.labels = [b""] * ids
-        for s, i in model["vocab"].items():
-            self.labels[i] = bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
-        for s, i in self.special.items():
-            self.labels[i] = s.encode()
+        content = content_of(path)
+        model = content["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.automaton = Automaton(model["vocab"], merges)
+        self.special = {a["content"]: a["id"] for a in content["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.apart = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.presplit = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         step = content["pre_tokenizer"]
-        self.pattern = regex.compile(WORDS) if step["type"] == "ByteLevel" and step["use_regex"] and not step["add_prefix_space"] else None
-        self.words = ChunkCache(lambda w: packed(self.automaton.encode(w)))
-        self.plain = ChunkCache(lambda w: packed(self.automaton.encode(in_letters(w))))
-        self.chunks = ChunkCache(self.chunk)
+        known = step["type"] == "ByteLevel" and step["use_regex"] and not step["add_prefix_space"]
+        self.pattern = regex.compile(WORDS) if known else None
+        self.words = ChunkCache(lambda w: packed(self.automaton.encode(w)), OTHER_WORDS)
+        self.plain = ChunkCache(lambda w: packed(self.automaton.encode(in_letters(w))), PLAIN_WORDS)
+        self.chunks = ChunkCache(self.chunk, CHUNKS)
 
     def exact(self, text: str) -> bytes:
         """Ids of any text, without the cache of chunks.
@@ -212,18 +218,41 @@ class Codec:
                 return self.exact(first) + b"".join(values)
         return self.exact(text)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
-
 
-def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}i", *ids)
+class Decoder:
+    """Texts of ids: the labels of their arcs, one after the other."""
 
-
-def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    def __init__(self, path: str):
+        content = content_of(path)
+        vocab = content["model"]["vocab"]
+        special = {a["content"]: a["id"] for a in content["added_tokens"]}
+        letters = {c: b for b, c in LETTERS.items()}
+        labels = [b""] * (max([*vocab.values(), *special.values()]) + 1)
+        for s, i in vocab.items():
+            labels[i] = bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
+        for s, i in special.items():
+            labels[i] = s.encode()
+        self.labels = pa.array(labels, pa.large_binary())
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """A text for each list; the labels taken lie end to end already."""
+        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+        taken = pc.fill_null(self.labels.take(ids.flatten()), b"")
+        ends = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1)[bounds]
+        texts = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends.tobytes()), taken.buffers()[2]])
+        try:
+            return texts.cast(pa.large_string())
+        except pa.ArrowInvalid:  # not UTF-8 throughout
+            return pa.array([t.as_py().decode("utf-8", "replace") for t in texts], pa.large_string())
+
+
+def kept(kind: type, path: str):
+    """The coder of a path, made once per Python worker."""
+    if (kind, path) not in _CODERS:
+        _CODERS[kind, path] = kind(path)
+        gc.collect()
+        gc.freeze()  # later collections need not look at its tables
+    return _CODERS[kind, path]
 
 
 def replaced(df: DataFrame, column: str, kind: T.DataType) -> T.StructType:
@@ -242,7 +271,7 @@ def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     schema = T.StructType([T.StructField("_id", rows.schema["_id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(tokenizer)
+        coder = kept(Encoder, tokenizer)
         for batch in batches:
             coded = (coder.encode(t.as_py()) for t in batch.column(1))
             at = 0
@@ -260,20 +289,20 @@ def decode(coded: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decod
     """Adds ``out``, the text of the ids; no ids or null give an empty text.
 
     Bytes that are no UTF-8 become the replacement character, as in the
-    tokenizer's library; null elements are left out.
+    tokenizer's library; a null element stands for no text.
     """
     schema = replaced(coded, out, T.StringType())
-    kept = coded.drop(out)
-    place = kept.columns.index(ids)
+    rows = coded.drop(out)
+    place = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(tokenizer)
+        coder = kept(Decoder, tokenizer)
         for batch in batches:
-            texts = (coder.decode([i for i in row.as_py() or [] if i is not None]) for row in batch.column(place))
-            at = 0
-            for part in sliced(texts, len, OUT_BYTES):
-                columns = [c.slice(at, len(part)) for c in batch.columns]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(part, pa.string())], names=schema.names)
-                at += len(part)
-
-    return kept.mapInArrow(run, schema)
+            lists = batch.column(place)
+            step = max(1, len(lists) * OUT_BYTES // max(1, 8 * len(lists.flatten())))
+            for at in range(0, len(lists), step):
+                part = batch.slice(at, step)
+                texts = coder.decode(part.column(place)).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=schema.names)
+
+    return rows.mapInArrow(run, schema)

@@ -8,6 +8,7 @@ tokens of two documents and none needs padding.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import struct
@@ -95,6 +96,8 @@ def plain_pattern(content: dict) -> str | None:
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+        gc.collect()
+        gc.freeze()  # later collections need not look at its tables
     return _ENCODERS[path]
 
 

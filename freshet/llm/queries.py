@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import bpe, packing
-from freshet.session import configure
+from freshet.llm import blobs, bpe, packing, urls, warc
+from freshet.session import configure, shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+BATCH_ROWS = "2000"
 
 
 def query(sql: str | None = None):
@@ -26,7 +27,9 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)  # texts may be long
+    ship_package(spark)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 @query()
@@ -45,3 +48,82 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+# The rules of the url filter.
+RULES = (
+    urls.Rule("net/", "block"),
+    urls.Rule("example.net/en/", "allow"),
+    urls.Rule("example.com/de/", "block"),
+    urls.Rule("org/fr/", "allow"),
+)
+
+
+@query(
+    """
+    WITH split AS (
+        SELECT page_id,
+            translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+        FROM pages),
+    rules AS (
+        SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) r(rule_host, rule_path, said)),
+    fitting AS (
+        SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS n
+        FROM split LEFT JOIN rules
+            ON ('.' || host) LIKE ('%.' || rule_host) AND starts_with(path, rule_path))
+    SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(said, 'allow') AS verdict
+    FROM fitting WHERE n = 1
+    """
+)
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(table(spark, folder, "pages"), list(RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = blobs.scan(table(spark, folder, "documents"))
+
+    def kinds(kind: str):
+        return F.size(F.filter("hits", lambda h: h["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    spans = F.array_join(F.transform("hits", lambda h: F.concat_ws(":", h["kind"], h["start"], h["stop"])), ",")
+    return found.select(
+        "doc_id",
+        kinds("assign"),
+        kinds("access"),
+        kinds("hex"),
+        F.sha2(spans.cast("binary"), 256).alias("base_sha256"),
+        spans.alias("spans"),
+    )
+
+
+@query(
+    """
+    WITH digests AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+    coded AS (
+        SELECT *, list_transform(range(0, 8), i -> ('0x' || substr(hex, (5 * i + 1)::INT, 5))::BIGINT) AS fives
+        FROM digests),
+    named AS (
+        SELECT page_id, payload_bytes, hex, array_to_string(list_transform(fives, v ->
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32768 + 1)::INT, 1)
+            || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 1024 % 32 + 1)::INT, 1)
+            || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32 % 32 + 1)::INT, 1)
+            || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v % 32 + 1)::INT, 1)), '') AS payload_digest
+        FROM coded),
+    held AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS holder FROM named)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> holder THEN holder END AS refers_to
+    FROM held
+    """
+)
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    pages = warc.read_archives(spark, path)
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
