@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import blobs, bpe, packing, urls, warc
+from freshet.llm import ann, blobs, bpe, lbl, packing, quality, urls, warc
 from freshet.session import configure, shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,10 +106,10 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     WITH digests AS (
         SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
     coded AS (
-        SELECT *, list_transform(range(0, 8), i -> ('0x' || substr(hex, (5 * i + 1)::INT, 5))::BIGINT) AS fives
+        SELECT *, list_transform(range(0, 8), lambda i: ('0x' || substr(hex, (5 * i + 1)::INT, 5))::BIGINT) AS fives
         FROM digests),
     named AS (
-        SELECT page_id, payload_bytes, hex, array_to_string(list_transform(fives, v ->
+        SELECT page_id, payload_bytes, hex, array_to_string(list_transform(fives, lambda v:
             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32768 + 1)::INT, 1)
             || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 1024 % 32 + 1)::INT, 1)
             || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v // 32 % 32 + 1)::INT, 1)
@@ -127,3 +127,26 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     warc.write_archives(table(spark, folder, "pages"), path)
     pages = warc.read_archives(spark, path)
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    space = quality.fit(docs, table(spark, folder, "labels").filter(~held_out))
+    scored = quality.score(docs.select("doc_id", "text", held_out.alias("held_out")), space)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op4_lbl(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    docs = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    return lbl.score_corpus(docs, docs.filter("NOT held_out")).drop("text")
+
+
+@query()
+def op9_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 50 = 0")).withColumn("rank", F.col("rank").cast("int"))
