@@ -1,17 +1,59 @@
-"""The corpus pipeline over documents."""
+"""The corpus pipeline: good documents, one of each group of near copies, without
+secrets, packed into sequences.
+
+Each stage takes the documents that the one before kept. All but the last return
+the columns of documents; the last returns the sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from freshet.llm import blobs, neardup, packing, quality
+from freshet.llm.graph import written
+from freshet.llm.queries import table
+
+LEAST_SCORE = 0.3
+ORACLE_SQL = None  # a fitted classifier and a tokenizer are not SQL; the tests hold a plain version against run()
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier, fitted on those of them with a label, rejects."""
+    space = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, space, "_score").filter(F.col("_score") >= LEAST_SCORE).drop("_score")
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each group, on runs of five words.
+    Documents without words, and rows without an id, are in no group and stay."""
+    groups = neardup.linked(docs, percent=80, width=5)
+    copies = groups.filter("NOT kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets by a mark; ``n_chars`` follows. Documents without any stay as they are."""
+    found = blobs.redacted(blobs.scan(docs).drop("blob"))
+    if "n_chars" not in docs.columns:
+        return found.select(*docs.columns)
+    kept = found.drop("n_chars").withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of powers of two."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
-from freshet.llm import packing  # noqa: F401
 
-ORACLE_SQL = None
-STAGES: list = []
+STAGES = [("quality", good), ("near_duplicates", distinct), ("secrets", clean), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """The stages one after the other over all documents, each written to the
+    shared folder before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

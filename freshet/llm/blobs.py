@@ -141,6 +141,7 @@ def redacted(found: DataFrame, content: str = "text", mark: str = "[SECRET]") ->
     """The rows of ``scan`` with their secrets replaced by the mark, without ``hits``."""
     at, hits = found.columns.index(content), found.columns.index("hits")
     kept = found.drop("hits")
+    names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,6 +153,6 @@ def redacted(found: DataFrame, content: str = "text", mark: str = "[SECRET]") ->
                 columns[at] = pa.array(part, pa.string())
                 begin += len(part)
                 del columns[hits]
-                yield pa.RecordBatch.from_arrays(columns, names=kept.columns)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return found.mapInArrow(run, kept.schema)

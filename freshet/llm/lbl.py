@@ -307,6 +307,13 @@ class Tables:
         return self.near[near, word] + self.far[far, word] + self.bias[word] - self.normaliser[near, far]
 
 
+def prepared(model: Model, vocab: Vocabulary) -> tuple[Tables, Coder]:
+    """The tables of a model, made once per worker."""
+    if _TABLES.get("model") is not model:
+        _TABLES.update(model=model, made=(Tables(model), Coder(vocab)))
+    return _TABLES["made"]
+
+
 def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, text: str = "text") -> DataFrame:
     """All rows with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -327,9 +334,8 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, t
         from pyspark import TaskContext
 
         model, vocab = shared.value
-        if shared.value[0] is not _TABLES.get("model"):
-            _TABLES.update(model=model, tables=Tables(model), coder=Coder(vocab))
-        tables, coder, ids = _TABLES["tables"], _TABLES["coder"], vocab.ids()
+        tables, coder = prepared(model, vocab)
+        ids = vocab.ids()
         log_counts = np.log10(vocab.counts + 0.5)
         of_class = np.r_[np.zeros(1 + FREQUENT), np.log10(vocab.mass)]
         row = TaskContext.get().partitionId() << 40

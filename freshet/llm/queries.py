@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import ann, blobs, bpe, lbl, packing, quality, urls, warc
+from freshet.llm import ann, blobs, bpe, cws, lbl, neardup, packing, quality, urls, warc
 from freshet.session import configure, shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,39 @@ def op4_lbl(spark: SparkSession, folder: str) -> DataFrame:
 def op9_ann(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return ann.search(vectors, vectors.filter("vec_id % 50 = 0")).withColumn("rank", F.col("rank").cast("int"))
+
+
+@query(
+    """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+        FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+        FROM words),
+    shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
+    rare AS (SELECT sh FROM shingles GROUP BY sh HAVING count(*) > 1),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS both_have
+        FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id < b.doc_id
+        WHERE a.sh IN (SELECT sh FROM rare) GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM common WHERE 100 * both_have >= 80 * (na + nb - both_have)
+        UNION ALL SELECT b, a FROM common WHERE 100 * both_have >= 80 * (na + nb - both_have)),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM sets
+        UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT s.doc_id, len(s.s) AS n_shingles, r.c AS component_id, s.doc_id = r.c AS kept
+    FROM sets s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON s.doc_id = r.a
+    """
+)
+def op2_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.linked(table(spark, folder, "documents"), percent=80, width=4)
+
+
+@query()
+def op8_cws(spark: SparkSession, folder: str) -> DataFrame:
+    return cws.fingerprint_edits(table(spark, folder, "documents"))
