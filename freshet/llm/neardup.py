@@ -124,7 +124,7 @@ def families(rows: DataFrame) -> DataFrame:
 
 def members(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """Members of the families with their full sets and registers."""
-    rows = docs.join(nodes, docs["id"] == nodes["node"]).select("family", "node", "text")
+    rows = docs.join(nodes.hint("merge"), docs["id"] == nodes["node"]).select("family", "node", "text")  # one plan at all sizes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,10 +256,10 @@ def linked(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str = "do
     signed = written(signatures(base, width), "signatures")
     held = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = written(held.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "nodes")
-    once = held.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi")
+    once = held.withColumnRenamed("doc_id", "node").join(nodes.select("node").hint("merge"), "node", "left_semi")
     family = families(once)
-    found = members(base, family, width).withColumn("part", F.lit(None).cast("long"))
-    parts = components(links_of(written(in_blocks(found), "members"), percent))
+    found = written(members(base, family, width).withColumn("part", F.lit(None).cast("long")), "members")
+    parts = components(links_of(in_blocks(found), percent))
     sets = signed.drop("registers", "filled").join(nodes, ["h1", "h2"], "left")
     named = sets.join(parts, "node", "left")
     lone = F.col("node").isNull() | F.col("doc_id").isNull()
