@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from freshet.llm.graph import written
+
 SAMPLES = 32
 TOGETHER = 8  # samples that one row computes
 BLOCK_DOCS = 4000  # documents in one block of neighbours
@@ -66,7 +68,7 @@ def fingerprints(rows: DataFrame, keys: list[str], terms: str, keep: dict[str, C
     each = rows.select(*keys, *(c.alias(n) for n, c in keep.items()), F.inline_outer(terms))
     each = each.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     names = [f"_s{i}" for i in range(TOGETHER)]
-    ranked = each.select(*keys, *keep, "part", *(F.expr(sample(i)).alias(n) for i, n in enumerate(names)))
+    ranked = each.select(*keys, *(F.when(F.col("part") == 0, F.col(n)).alias(n) for n in keep), "part", *(F.expr(sample(i)).alias(n) for i, n in enumerate(names)))
     least = ranked.groupBy(*keys, "part").agg(*(F.min(n).alias(n) for n in names), *(F.max(n).alias(n) for n in keep))
     digits = F.concat(*(F.lower(F.lpad(F.hex(F.col(n).bitwiseAND(F.lit(4294967295))), 8, "0")) for n in names))
     text = least.select(*keys, *keep, F.struct("part", F.coalesce(digits, F.lit("")).alias("digits")).alias("piece"))
@@ -157,12 +159,13 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     kinds = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"))
     kinds = kinds.withColumn("body", F.when(F.col("kind") == 0, F.col("text")).otherwise(F.col("edited"))).drop("text", "edited")
     numbers = ["n_chars", "next_id", "next_h", *words]
-    marked = fingerprints(weighted_terms(kinds, "body", "terms"), ["id", "h", "kind"], "terms", {n: F.col(n) for n in numbers}, samples)
-    both = marked.groupBy("id", "h").agg(
+    marked = fingerprints(weighted_terms(kinds, "body", "terms"), ["id", "h", "kind"], "terms", {n: F.when(F.col("kind") == 0, F.col(n)) for n in numbers}, samples)
+    joined = marked.groupBy("id", "h").agg(
         *(F.max(n).alias(n) for n in numbers),
         F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
     )
+    both = written(joined, "fingerprints")  # read twice below
     following = both.select(F.col("id").alias("f_id"), F.col("h").alias("f_h"), F.col("fingerprint").alias("next_fingerprint"))
     met = both.join(following, F.col("next_id").eqNullSafe(F.col("f_id")) & (F.col("next_h") == F.col("f_h")))
     hexed = F.concat(*(F.lower(F.lpad(F.hex(n), 16, "0")) for n in words))
