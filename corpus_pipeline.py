@@ -30,7 +30,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words, and rows without an id, are in no group and stay."""
     groups = neardup.linked(docs, percent=80, width=5)
     copies = groups.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
