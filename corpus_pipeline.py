@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import blobs, neardup, packing, quality
+from freshet.llm.chunks import unused
 from freshet.llm.graph import written
 from freshet.llm.queries import table
 
@@ -22,7 +23,8 @@ ORACLE_SQL = None  # a fitted classifier and a tokenizer are not SQL; the tests
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier, fitted on those of them with a label, rejects."""
     space = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, space, "_score").filter(F.col("_score") >= LEAST_SCORE).drop("_score")
+    score = unused(docs.columns, "score")
+    return quality.score(docs, space, score).filter(F.col(score) >= LEAST_SCORE).drop(score)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a mark; ``n_chars`` follows. Documents without any stay as they are."""
-    found = blobs.redacted(blobs.scan(docs).drop("blob"))
+    blob, hits = unused(docs.columns, "blob"), unused(docs.columns, "hits")
+    found = blobs.redacted(blobs.scan(docs, blob=blob, hits=hits).drop(blob), hits=hits)
     if "n_chars" not in docs.columns:
         return found.select(*docs.columns)
     kept = found.drop("n_chars").withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

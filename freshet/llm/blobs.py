@@ -105,19 +105,26 @@ def scan_new(versions: DataFrame, ledger: str, content: str = "text", rules_vers
     return ledger_of(spark, ledger, rules_version)
 
 
-def scan(versions: DataFrame, ledger: str | None = None, content: str = "text", rules_version: str = RULES_VERSION) -> DataFrame:
-    """All rows of ``versions`` with ``blob`` and ``hits``, the findings in their content.
+def scan(
+    versions: DataFrame,
+    ledger: str | None = None,
+    content: str = "text",
+    rules_version: str = RULES_VERSION,
+    blob: str = "blob",
+    hits: str = "hits",
+) -> DataFrame:
+    """All rows of ``versions`` with their blob and ``hits``, the findings in their content.
 
     ``hits`` lists kind, start and stop in code points, by start and then by the
     order of the rules. Without ``ledger`` a new one is made in the shared folder.
-    Columns called ``blob`` or ``hits`` are replaced. A null content is empty and
-    has no findings; repeated rows keep their rows; keys may be null.
+    Columns with the names of the results are replaced. A null content is empty
+    and has no findings; repeated rows keep their rows; keys may be null.
     """
     ledger = ledger or shared_path(versions.sparkSession, "ledger")
-    scanned = scan_new(versions, ledger, content, rules_version)
+    scanned = scan_new(versions, ledger, content, rules_version).select(F.col("blob").alias(blob), F.col("hits").alias(hits))
     text = F.coalesce(F.col(content).cast("string"), F.lit(""))
-    paths = versions.drop("blob", "hits").withColumn("blob", F.sha2(text.cast("binary"), 256))
-    return paths.join(scanned, "blob", "left").select(*paths.columns, "hits")
+    paths = versions.withColumn(blob, F.sha2(text.cast("binary"), 256)).drop(hits)
+    return paths.join(scanned, blob, "left").select(*paths.columns, hits)
 
 
 def redact(text: str, spans: list[tuple[int, int]], mark: str) -> str:
@@ -137,22 +144,22 @@ def redact(text: str, spans: list[tuple[int, int]], mark: str) -> str:
     return "".join([*out, mark, text[end:]])
 
 
-def redacted(found: DataFrame, content: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redacted(found: DataFrame, content: str = "text", mark: str = "[SECRET]", hits: str = "hits") -> DataFrame:
     """The rows of ``scan`` with their secrets replaced by the mark, without ``hits``."""
-    at, hits = found.columns.index(content), found.columns.index("hits")
-    kept = found.drop("hits")
+    at, place = found.columns.index(content), found.columns.index(hits)
+    kept = found.drop(hits)
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(at), batch.column(hits).to_pylist(), strict=True)
+            rows = zip(batch.column(at), batch.column(place).to_pylist(), strict=True)
             texts = (redact(t.as_py(), [(h["start"], h["stop"]) for h in spans], mark) if spans else t.as_py() for t, spans in rows)
             begin = 0
             for part in sliced(texts, lambda t: len(t or ""), OUT_BYTES):
                 columns = [c.slice(begin, len(part)) for c in batch.columns]
                 columns[at] = pa.array(part, pa.string())
                 begin += len(part)
-                del columns[hits]
+                del columns[place]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return found.mapInArrow(run, kept.schema)

@@ -64,3 +64,11 @@ def sliced(rows: Iterator, size: Callable, limit: int) -> Iterator[list]:
             taken, total = [], 0
     if taken:
         yield taken
+
+
+def unused(columns: list[str], name: str) -> str:
+    """The name, or one made of it, that is none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

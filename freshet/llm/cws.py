@@ -53,7 +53,7 @@ def sample(number: int) -> str:
     log_c = f"ln(-ln({uniform(f'{second} & 4294967295L', half)} * {uniform(f'shiftrightunsigned({second}, 32)', half)}))"
     level = f"floor(ln(times) / {r} + {beta})"
     rank = f"({log_c} - {r} * ({level} - {beta}) - {r})"
-    return f"shiftleft(greatest(0L, cast(({rank} + 64D) * 16777216D AS bigint)), 32) | (xxhash64(term, {level}) & 4294967295L)"
+    return f"CASE WHEN term IS NOT NULL THEN shiftleft(greatest(0L, cast(({rank} + 64D) * 16777216D AS bigint)), 32) | (xxhash64(term, {level}) & 4294967295L) END"
 
 
 def fingerprints(rows: DataFrame, keys: list[str], terms: str, keep: dict[str, Column] | None = None, samples: int = SAMPLES) -> DataFrame:

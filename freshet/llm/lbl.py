@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.chunks import sliced
+from freshet.llm.chunks import sliced, unused
 from freshet.session import shared_path
 
 END = 0
@@ -152,7 +152,7 @@ class Coder(dict):
 
 
 def model_ids(numbers: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return np.where(numbers >= 0, ids[numbers], FREQUENT - numbers)  # -1 - class, behind the frequent words
+    return np.where(numbers >= 0, ids[np.maximum(numbers, 0)], FREQUENT - numbers)  # -1 - class, behind the frequent words
 
 
 @dataclass
@@ -324,11 +324,18 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, t
     spark = docs.sparkSession
     names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = docs.drop(*names)
-    rows = kept.withColumn("_text", F.col(text).cast("binary"))
+    body = unused(docs.columns, "_body")
+    rows = docs.withColumn(body, F.col(text).cast("binary")).drop(*names)
     shared = spark.sparkContext.broadcast((model, vocab))
     own = kept.columns
-    schema = kept.withColumns({"_row": F.lit(0).cast("long"), "_tokens": F.lit(0).cast("long"), "_known": F.lit(0).cast("long"), "_base": F.lit(0.0), "_score": F.lit(0.0)}).schema
-    schema = schema.add("_keys", T.ArrayType(T.LongType())).add("_times", T.ArrayType(T.IntegerType()))
+    made = ("_row", "_tokens", "_known", "_base", "_score", "_keys", "_times")
+    row_, tokens_, known_, base_, score_, keys_, times_ = (unused(docs.columns, n) for n in made)
+    schema = T.StructType([*kept.schema.fields])
+    for name in (row_, tokens_, known_):
+        schema = schema.add(name, T.LongType())
+    for name in (base_, score_):
+        schema = schema.add(name, T.DoubleType())
+    schema = schema.add(keys_, T.ArrayType(T.LongType())).add(times_, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -380,21 +387,22 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, t
     path = shared_path(spark, "scored")
     rows.mapInArrow(run, schema).write.parquet(path)
     scored = spark.read.parquet(path)
-    rare = scored.select("_row", F.explode(F.arrays_zip("_keys", "_times")).alias("t")).select("_row", F.col("t._keys").alias("key"), F.col("t._times").alias("times"))
+    pairs = F.arrays_zip(F.col(keys_).alias("key"), F.col(times_).alias("times"))
+    rare = scored.select(F.col(row_).alias("row"), F.inline(pairs))
     told = rare.join(counts.filter("class >= 0").select("key", "n"), "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    sums = told.groupBy("_row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("_more"),
-        F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("_logs"),
+    sums = told.groupBy("row").agg(
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
+        F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("logs"),
     )
-    both = scored.drop("_keys", "_times").join(sums, "_row", "left")
-    logs = F.coalesce("_logs", F.lit(0.0))
+    both = scored.join(sums, scored[row_] == sums["row"], "left")
+    logs = F.coalesce(sums["logs"], F.lit(0.0))
     return both.select(
-        *own,
-        F.col("_tokens").alias("n_tokens"),
-        (F.col("_known") + F.coalesce("_more", F.lit(0))).cast("long").alias("n_known"),
+        *(scored[c] for c in own),
+        scored[tokens_].alias("n_tokens"),
+        (scored[known_] + F.coalesce(sums["more"], F.lit(0))).cast("long").alias("n_known"),
         F.lit(vocab.total).cast("long").alias("train_tokens"),
-        (F.col("_base") + logs - F.col("_tokens") * float(np.log10(vocab.divisor))).alias("base_score"),
-        (F.col("_score") + logs).alias("score"),
+        (scored[base_] + logs - scored[tokens_] * float(np.log10(vocab.divisor))).alias("base_score"),
+        (scored[score_] + logs).alias("score"),
     )
 
 

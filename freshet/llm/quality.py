@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet.llm.chunks import unused
+
 PER_LABEL = 2000  # labelled documents of each label that the space is fitted on, at most
 DIMENSIONS = 32
 NEIGHBOURS = 25
@@ -191,7 +193,7 @@ def score(docs: DataFrame, space: Space, out: str = "score", text: str = "text")
     labelled documents (0.5 without any). Every row keeps its place, repeated
     rows too; a column called ``out`` is replaced.
     """
-    rows = docs.drop(out).withColumn("_text", F.col(text).cast("binary"))
+    rows = docs.withColumn(unused(docs.columns, "_body"), F.col(text).cast("binary")).drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(space)  # bounded by the sample and the terms
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.DoubleType())])
 
