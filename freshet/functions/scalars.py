@@ -58,3 +58,12 @@ def nan_to_null(df: DataFrame, *columns: str) -> DataFrame:
         c: F.when(~F.isnan(c), F.col(c)) for c in chosen if isinstance(kinds[c], floating)
     }
     return df.withColumns(changed) if changed else df
+
+
+def plain_number(column: str | Column) -> Column:
+    """A double as text without an exponent up to 1e16, such as 15000000.0."""
+    value = as_column(column)
+    digits = value.cast("string").cast("decimal(38,17)").cast("string")
+    whole = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    large = (F.abs(value) >= 1e7) & (F.abs(value) < 1e16)
+    return F.when(large, whole).otherwise(value.cast("string"))

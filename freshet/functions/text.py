@@ -6,14 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.rules import label
 from freshet.functions.scalars import as_column
 
-SMALL_LEXICON = 100_000  # words that may be broadcast
 
 
 def contains_any(lowered: Column, words: Sequence[str]) -> Column:
@@ -52,18 +50,13 @@ def lexicon_label(
 ) -> DataFrame:
     """Mean lexicon score per text, then POSITIVE, NEGATIVE or NEUTRAL.
 
-    ``lexicon`` has columns word and score, one row per word. If it is small it
-    is broadcast: the tokens of a text then stay in one partition, and partial
-    sums leave about one row per text for the shuffle. A larger one is joined by
-    word, after counting each word once per text. Texts without a scored word
-    are neutral.
+    ``lexicon`` has columns word and score, one row per word in either case.
+    Each word counts once per text before it is joined, so a frequent word gives
+    one row per text. Texts without a scored word are neutral.
     """
     words = df.select(key, F.explode_outer(F.split(F.lower(text), " ", -1)).alias("word"))
-    scores = lexicon.select("word", "score")
-    if lexicon.limit(SMALL_LEXICON + 1).count() <= SMALL_LEXICON:
-        scored = words.join(F.broadcast(scores), "word", "left").withColumn("times", F.lit(1))
-    else:
-        scored = words.groupBy(key, "word").agg(F.count("*").alias("times")).join(scores, "word", "left")
+    scores = lexicon.select(F.lower("word").alias("word"), "score")
+    scored = words.groupBy(key, "word").agg(F.count("*").alias("times")).join(scores, "word", "left")
     known = F.when(F.col("score").isNotNull(), F.col("times"))
     mean = F.try_divide(F.sum(F.col("score") * F.col("times")), F.sum(known))
     means = scored.groupBy(key).agg(mean.alias("polarity"))
@@ -79,16 +72,13 @@ def polarity(text: str | Column, lexicon: Mapping[str, float]) -> Column:
     """Mean lexicon score of each text, null without a scored word.
 
     For streams, where a grouping per text would need state, and for word lists
-    small enough to travel with the task. Texts come in Arrow batches.
+    small enough to be part of the plan.
     """
     scores = {w.lower(): float(s) for w, s in lexicon.items()}
-
-    @F.pandas_udf("double")
-    def mean_score(texts: pd.Series) -> pd.Series:
-        def mean(text: str | None) -> float | None:
-            found = [scores[w] for w in text.split(" ") if w in scores] if text else []
-            return sum(found) / len(found) if found else None
-
-        return texts.map(mean).astype("float64")
-
-    return mean_score(F.lower(as_column(text)))
+    if not scores:
+        return F.lit(None).cast("double")
+    known = F.create_map(*(F.lit(v) for pair in scores.items() for v in pair))
+    words = F.split(F.lower(as_column(text)), " ", -1)
+    found = F.filter(F.transform(words, lambda w: F.try_element_at(known, w)), lambda s: s.isNotNull())
+    total = F.aggregate(found, F.lit(0.0), lambda a, s: a + s)
+    return F.when(F.size(found) > 0, total / F.size(found))

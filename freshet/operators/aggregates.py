@@ -25,6 +25,12 @@ def group_agg(df: DataFrame, keys: str | Sequence[str], **named: Column) -> Data
     return clean.groupBy(*keys).agg(*(c.alias(name) for name, c in named.items()))
 
 
+def group_all(df: DataFrame, keys: str | Sequence[str], **named: Column) -> DataFrame:
+    """Named aggregates per key, rows without a key being a group of their own."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(*(c.alias(name) for name, c in named.items()))
+
+
 def agg_multi(df: DataFrame, keys: str | Sequence[str], columns: Sequence[str], funcs: Sequence[str]) -> DataFrame:
     """Every function for every column, named column_function."""
     known = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count, "std": F.stddev_samp}

@@ -3,13 +3,14 @@
 A plain window function sorts all rows of a key in one task. That holds for
 ordinary keys and fails for a key with a third of the table. Here the keys with
 more than ``hot_rows`` rows are found first, by one aggregate over the key
-columns. Their rows are cut into blocks of the position range, each block is a
-window of its own, and a small table with one row per block carries the result
-from block to block. If no key is hot, the plan is the plain window.
-
-``position`` is a SQL expression for an integer that rises with the order and
-is not null, by default the first order column. With distinct positions no
-window holds more than ``max(span, hot_rows)`` rows.
+columns. Their rows are dealt by range of key and order to blocks of about
+``span`` rows, each block is a window of its own, and a small table with one row
+per block carries the result from block to block. If no key is hot, the plan is
+the plain window.
+
+Blocks come from row counts and never from the values, so any order that can be
+sorted will do: numbers, times and texts, sparse or not, with nulls first as in
+a window. Rows that are equal in key and order stay in one block.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from freshet.functions.scalars import as_column
+from freshet.session import shared_path
 
 HOT_ROWS = 4_000_000  # rows of one key that a single task may sort
 HOT_KEYS = 10_000  # hot keys that may be broadcast; beyond it all keys are cut
@@ -38,27 +40,35 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], renamed: S
 
 
 def cut_hot_keys(
-    df: DataFrame, keys: Sequence[str], position: str, span: int = HOT_ROWS, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], span: int = HOT_ROWS, hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, list[str]]:
     """The frame, and the columns whose groups are small enough for one task.
 
     Without hot keys these are the keys. Otherwise they are two new columns: the
     keys as one ``_key``, which is never null and so can be joined on as it is
-    partitioned, and ``_block``: null for ordinary keys, the position's block for
-    hot ones. Runs one job over the key columns.
+    partitioned, and ``_block``: null for ordinary keys, the number of the row's
+    block for hot ones. Runs one job over the key columns, and writes the hot
+    rows with their blocks to the shared folder, so that blocks stay as they are.
     """
     sizes = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).drop("count")
     hot = sizes.limit(HOT_KEYS + 1).collect()
     if not hot:
         return df, list(keys)
-    block = F.expr(f"({position}) div {span}")
+    rest = None
     if keys and len(hot) <= HOT_KEYS:
         renamed = [f"_hot_{k}" for k in keys]
         known = df.sparkSession.createDataFrame(hot, sizes.schema).toDF(*renamed).withColumn("_hot", F.lit(True))
         df = df.join(F.broadcast(known), same_keys(df, known, keys, renamed), "left").drop(*renamed)
-        block = F.when(F.col("_hot"), block)
-    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
-    return df.withColumns({KEY: key, BLOCK: block}).drop("_hot"), [KEY, BLOCK]
+        rest = df.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(None).cast("int"))
+        df = df.filter("_hot").drop("_hot")
+    blocks = max(2, -(-df.count() // span))
+    dealt = df.repartitionByRange(blocks, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
+    path = shared_path(df.sparkSession, "blocks")
+    dealt.write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    if rest is not None:
+        rows = rows.unionByName(rest)
+    return rows.withColumn(KEY, F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))), [KEY, BLOCK]
 
 
 def carry(rows: DataFrame, edges: DataFrame, name: str) -> DataFrame:
@@ -79,13 +89,12 @@ def running_sum(
     value: str | Column,
     out: str,
     inclusive: bool = True,
-    position: str | None = None,
     span: int = HOT_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The sum up to each row of its key, or up to the row before it."""
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, groups = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
+    blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
     last = Window.currentRow if inclusive else -1
     here = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     zero = F.lit(0)
@@ -110,13 +119,12 @@ def shifted(
     value: str | Column,
     out: str,
     back: bool = True,
-    position: str | None = None,
     span: int = HOT_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The value of the row before (or after) each row within its key."""
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, groups = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
+    blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
     here = Window.partitionBy(*groups).orderBy(*order)
     step = F.lag if back else F.lead
     rows = blocked.withColumn(out, step(value).over(here))
@@ -169,7 +177,6 @@ def halving_fold(
     order: str | Sequence[str],
     value: str | Column,
     out: str,
-    position: str | None = None,
     span: int = HOT_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -180,7 +187,7 @@ def halving_fold(
     weight doubled. Sums of that kind can be taken per block and added up.
     """
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, groups = cut_hot_keys(df, keys, position or order[0], span, hot_rows)
+    blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
     from_end = Window.partitionBy(*groups).orderBy(*(F.col(c).desc() for c in order))
     half = F.lit(0.5)
     numbered = blocked.withColumn("_n", F.row_number().over(from_end))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet import schemas as S
+from freshet.functions.scalars import plain_number
 from freshet.functions.rules import classify, label
 from freshet.functions.text import tokens
 from freshet.operators.lookups import lookup
@@ -147,20 +148,17 @@ def word_counts(df: DataFrame) -> DataFrame:
 
 
 @plan(S.COMMENT, mode="batch", keep=ORDER)
-def running_word_counts(df: DataFrame, seq: str = "offset", texts_per_block: int = 100_000) -> DataFrame:
-    """Every word with its count so far, in the order of texts and words.
-
-    A frequent word is cut by blocks of texts.
-    """
+def running_word_counts(df: DataFrame, seq: str = "offset") -> DataFrame:
+    """Every word with its count so far, in the order of texts and words."""
     words = tokens(df.select(seq, "text"), "text", "word", "position").drop("text")
-    return running_count(words, "word", [seq, "position"], "count", span=texts_per_block)
+    return running_count(words, "word", [seq, "position"], "count")
 
 
 @plan(S.PAYMENT)
 def high_value_alerts(df: DataFrame) -> DataFrame:
     """A message per payment over the limit."""
     high = df.filter(F.col("amount") > V.HIGH_VALUE)
-    message = F.format_string(V.HIGH_VALUE_MESSAGE, F.col("id"), F.col("amount"))
+    message = F.format_string(V.HIGH_VALUE_MESSAGE, F.col("id"), plain_number("amount"))
     return high.select("id", message.alias("message"))
 
 

@@ -11,7 +11,7 @@ from freshet import schemas as S
 from freshet.functions.rules import classify
 from freshet.functions.scalars import epoch_to_ts
 from freshet.functions.text import keyword_label, polarity, polarity_label
-from freshet.operators.aggregates import group_agg, ranked, top_n, volume_alert
+from freshet.operators.aggregates import group_all, ranked, top_n, volume_alert
 from freshet.operators.clusters import score
 from freshet.operators.windows import windowed
 from freshet.plans import values as V
@@ -96,24 +96,24 @@ def intrusion_alerts(df: DataFrame) -> DataFrame:
 @plan(S.SCORE, mode="complete")
 def leaderboard(df: DataFrame) -> DataFrame:
     """All players by total score."""
-    return ranked(group_agg(df, "player_id", total_score=F.sum("score")), "total_score", ["player_id"])
+    return ranked(group_all(df, "player_id", total_score=F.sum("score")), "total_score", ["player_id"])
 
 
 @plan(S.SCORE, mode="complete")
 def leaderboard_top(df: DataFrame) -> DataFrame:
-    totals = group_agg(df, "player_id", total_score=F.sum("score"))
+    totals = group_all(df, "player_id", total_score=F.sum("score"))
     return top_n(totals, "total_score", V.LEADERBOARD_TOP, ["player_id"])
 
 
 @plan(S.SALE, mode="update")
 def sold_quantities(df: DataFrame) -> DataFrame:
     """Units sold per product since the start."""
-    return group_agg(df, "product_id", sold_quantity=F.sum("quantity"))
+    return group_all(df, "product_id", sold_quantity=F.sum("quantity"))
 
 
 @plan(S.SALE, mode="update")
 def restock_alerts(df: DataFrame) -> DataFrame:
-    return group_agg(df, "product_id", sold_quantity=F.sum("quantity")).filter(
+    return group_all(df, "product_id", sold_quantity=F.sum("quantity")).filter(
         F.col("sold_quantity") > V.RESTOCK_SOLD
     )
 
@@ -121,7 +121,7 @@ def restock_alerts(df: DataFrame) -> DataFrame:
 @plan(S.SALE, mode="complete")
 def low_stock(df: DataFrame) -> DataFrame:
     """Products whose stock, from a fixed start, has run low."""
-    sold = group_agg(df, "product_id", total_sold=F.sum("quantity"))
+    sold = group_all(df, "product_id", total_sold=F.sum("quantity"))
     left = sold.withColumn("current_stock", F.lit(V.INITIAL_STOCK) - F.col("total_sold"))
     return left.filter(F.col("current_stock") < V.STOCK_LOW)
 

@@ -21,11 +21,11 @@ def write_documents(
 ) -> None:
     """Writes rows as JSON documents to root/resource.
 
-    With ``connector`` (a data source on the class path) the resource goes to
-    that store under the options given, and ``root`` is not used.
+    With ``connector`` (a data source on the class path) the resource is the
+    place in that store, under the options given, and ``root`` is not used.
     """
     if connector:
-        df.write.format(connector).options(**(options or {})).mode(mode).save()
+        df.write.format(connector).options(**(options or {})).mode(mode).save(resource)
     else:
         df.write.mode(mode).json(f"{root}/{resource}")
 

@@ -41,7 +41,7 @@ def to_documents(
     """Append-only document folder, or a document store's connector."""
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if connector:
-        return writer.format(connector).options(**options)
+        return writer.format(connector).options(**options).option("path", resource)
     return writer.format("json").option("path", f"{root}/{resource}")
 
 

@@ -178,11 +178,11 @@ def siem_label(spark, d):
 
 @query(
     "SELECT event_id AS id, 'ALERT: High value transaction ' || event_id || ' detected: $' || amount AS message "
-    "FROM (SELECT event_id, floor(value * 100) AS amount FROM events) WHERE amount > 10000"
+    "FROM (SELECT event_id, floor(value * 100) * 1000 AS amount FROM events) WHERE amount > 10000"
 )
 def alert_message(spark, d):
     payments = read(spark, d, "events").select(
-        F.col("event_id").alias("id"), F.floor(F.col("value") * 100).cast("double").alias("amount")
+        F.col("event_id").alias("id"), (F.floor(F.col("value") * 100) * 1000).cast("double").alias("amount")
     )
     return PLANS["high_value_alerts"].run(payments)
 

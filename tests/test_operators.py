@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from freshet import schemas as S
 from freshet.functions.rules import classify, label
-from freshet.functions.scalars import epoch_to_ts, exact_avg, exact_sum, iso_to_ts, safe_ratio
+from freshet.functions.scalars import epoch_to_ts, exact_avg, exact_sum, iso_to_ts, plain_number, safe_ratio
 from freshet.functions.text import keyword_label, lexicon_label, polarity, tokens
-from freshet.operators.aggregates import agg_multi, corr_matrix, group_agg, group_mean, top_n, volume_alert
+from freshet.operators.aggregates import agg_multi, corr_matrix, group_agg, group_all, group_mean, top_n, volume_alert
 from freshet.operators.clusters import fit_clusters, score
 from freshet.operators.decode import bad_rows, current_rows, decode_changes, decode_json, encode_json, good_rows
 from freshet.operators.lookups import lookup, member_flag, missing_keys
@@ -126,10 +126,8 @@ def test_keywords_first_list_wins(spark):
     assert [r["s"] for r in out.collect()] == ["P", "N", "-", "-"]
 
 
-@pytest.mark.parametrize("small", [100, 1])
-def test_both_forms_of_lexicon_scoring_agree(spark, monkeypatch, small):
-    monkeypatch.setattr("freshet.functions.text.SMALL_LEXICON", small)
-    words = {"good": 0.5, "bad": -0.5, "so": 0.0}
+def test_both_forms_of_lexicon_scoring_agree(spark):
+    words = {"Good": 0.5, "BAD": -0.5, "so": 0.0}
     texts = [(1, "Good good bad"), (2, "bad so so so so so"), (3, "bad"), (4, "nothing"), (5, None), (6, "")]
     df = spark.createDataFrame(texts, "id int, text string")
     lexicon = spark.createDataFrame(list(words.items()), "word string, score double")
@@ -306,3 +304,21 @@ def test_shared_folder(spark):
     assert shared_path(spark, "x") != shared_path(spark, "x")
     assert shared_path(spark, "x").startswith(checkpoint_dir(spark).rstrip("/"))
     assert all(spark.conf.get(k) == v for k, v in RUNTIME_SETTINGS.items())
+
+
+def test_null_keys_are_a_group_where_asked(spark):
+    df = spark.createDataFrame([(None, 5), ("a", 3), (None, 1)], "k string, v int")
+    assert sorted(values(group_all(df, "k", s=F.sum("v"))), key=str) == [("a", 3), (None, 6)]
+    assert values(group_agg(df, "k", s=F.sum("v"))) == [("a", 3)]
+
+
+def test_large_amounts_have_no_exponent(spark):
+    amounts = [9999.5, 15000000.0, 123456789.25, 9007199254740992.0, 12000.0]
+    df = spark.createDataFrame([(a,) for a in amounts], "x double")
+    assert [r[0] for r in df.select(plain_number("x")).collect()] == [repr(a) for a in amounts]
+
+
+def test_a_connector_gets_its_resource(spark, tmp_path):
+    df = spark.range(3)
+    docs.write_documents(df, "unused", str(tmp_path / "index"), connector="json")
+    assert spark.read.json(str(tmp_path / "index")).count() == 3

@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,35 @@ def test_rank_asof(spark, band):
     out = rank_asof(df, "player", "seq", "points", band=band, **hot)
     assert by_seq(out, "total_score", "current_rank") == want
     assert out.columns == ["seq", "player", "points", "total_score", "current_rank"]
+
+
+ORDERS = {
+    "null first": ("int", lambda i: None if i == 0 else i * 1000),
+    "time": ("timestamp", lambda i: datetime(2020, 1, 1) + timedelta(microseconds=i * 7919)),
+    "text": ("string", lambda i: f"{i:05d}"),
+    "sparse": ("long", lambda i: i**3 * 1_000_003),
+    "negative": ("double", lambda i: i - 150.5),
+}
+
+
+@pytest.mark.parametrize("cut", [{}, {"span": 30, "hot_rows": 20}, {"span": 7, "hot_rows": 100}])
+@pytest.mark.parametrize("order", ORDERS)
+def test_any_order_gives_the_same_in_blocks(spark, order, cut):
+    kind, at = ORDERS[order]
+    data = [("hot" if i % 3 else "cold", at(i), i) for i in range(300)]
+    df = spark.createDataFrame(data, f"k string, o {kind}, v int").repartition(3)
+    out = ordered.running_count(df, "k", "o", "n", **cut)
+    out = ordered.shifted(out, "k", "o", "v", "before", **cut)
+    seen, want = {}, {}
+    for k, _, v in data:
+        n, before = seen.get(k, (0, None))
+        seen[k] = (n + 1, v)
+        want[v] = (n + 1, before)
+    assert {r["v"]: (r["n"], r["before"]) for r in out.collect()} == want
+
+
+def test_repeated_order_values_stay_in_one_block(spark):
+    df = spark.createDataFrame([("a", i // 50, 1) for i in range(300)], "k string, o int, v int")
+    out = ordered.running_sum(df, "k", "o", "v", "s", span=20, hot_rows=10).collect()
+    assert sorted(r["s"] for r in out) == list(range(1, 301))
+    assert all(r["o"] * 50 < r["s"] <= r["o"] * 50 + 50 for r in out)
