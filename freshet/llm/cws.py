@@ -53,7 +53,7 @@ def sample(number: int) -> str:
     log_c = f"ln(-ln({uniform(f'{second} & 4294967295L', half)} * {uniform(f'shiftrightunsigned({second}, 32)', half)}))"
     level = f"floor(ln(times) / {r} + {beta})"
     rank = f"({log_c} - {r} * ({level} - {beta}) - {r})"
-    return f"CASE WHEN term IS NOT NULL THEN shiftleft(greatest(0L, cast(({rank} + 64D) * 16777216D AS bigint)), 32) | (xxhash64(term, {level}) & 4294967295L) END"
+    return f"shiftleft(greatest(0L, cast(({rank} + 64D) * 16777216D AS bigint)), 32) | (xxhash64(term, {level}) & 4294967295L)"
 
 
 def fingerprints(rows: DataFrame, keys: list[str], terms: str, keep: dict[str, Column] | None = None, samples: int = SAMPLES) -> DataFrame:
@@ -68,10 +68,10 @@ def fingerprints(rows: DataFrame, keys: list[str], terms: str, keep: dict[str, C
     each = rows.select(*keys, *(c.alias(n) for n, c in keep.items()), F.inline_outer(terms))
     each = each.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     names = [f"_s{i}" for i in range(TOGETHER)]
-    ranked = each.select(*keys, *(F.when(F.col("part") == 0, F.col(n)).alias(n) for n in keep), "part", *(F.expr(sample(i)).alias(n) for i, n in enumerate(names)))
-    least = ranked.groupBy(*keys, "part").agg(*(F.min(n).alias(n) for n in names), *(F.max(n).alias(n) for n in keep))
+    ranked = each.select(*keys, *(F.when(F.col("part") == 0, F.col(n)).alias(n) for n in keep), "part", "term", *(F.expr(sample(i)).alias(n) for i, n in enumerate(names)))
+    least = ranked.groupBy(*keys, "part").agg(F.count("term").alias("_terms"), *(F.min(n).alias(n) for n in names), *(F.max(n).alias(n) for n in keep))
     digits = F.concat(*(F.lower(F.lpad(F.hex(F.col(n).bitwiseAND(F.lit(4294967295))), 8, "0")) for n in names))
-    text = least.select(*keys, *keep, F.struct("part", F.coalesce(digits, F.lit("")).alias("digits")).alias("piece"))
+    text = least.select(*keys, *keep, F.struct("part", F.when(F.col("_terms") > 0, digits).otherwise("").alias("digits")).alias("piece"))
     joined = text.groupBy(*keys).agg(F.sort_array(F.collect_list("piece")).alias("pieces"), *(F.max(n).alias(n) for n in keep))
     whole = F.substring(F.array_join(F.transform("pieces", lambda p: p["digits"]), ""), 1, 8 * samples)
     return joined.select(*keys, *keep, whole.alias("fingerprint"))
