@@ -11,6 +11,8 @@ Everything is a DataFrame or SQL expression.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,40 +22,40 @@ from freshet.llm.graph import written
 SAMPLES = 32
 TOGETHER = 8  # samples that one row computes
 BLOCK_DOCS = 4000  # documents in one block of neighbours
+LN_2 = math.log(2)
+SPREAD = 2654435761  # an odd factor; levels stay below 2 ** 25
 MOST_BLOCKS = 1 << 16  # beyond these blocks grow
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def weighted_terms(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds the words of a text, A-Z lower-cased, as hashes with their counts.
-
-    Hashes are sorted; where one run of equal ones ends, its length is the count.
-    """
+    """Adds the words of a text, A-Z lower-cased, as hashes with the places where
+    their runs begin and end among all words in the order of their hashes."""
     lowered = f"translate({text}, '{UPPER}', '{LOWER}')"
     words = f"filter(split({lowered}, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w != '')"
-    ends = "filter(sequence(1, size(_h)), i -> i = size(_h) OR get(_h, i - 1) != get(_h, i))"
-    runs = "transform(_e, (e, j) -> struct(get(_h, e - 1) AS term, e - coalesce(get(_e, j - 1), 0) AS times))"
-    sorted_words = df.withColumn("_h", F.expr(f"array_sort(transform({words}, w -> xxhash64(w)))"))
-    found = sorted_words.withColumn("_e", F.expr(f"CASE WHEN size(_h) = 0 THEN cast(array() AS array<int>) ELSE {ends} END"))
-    return found.withColumn(out, F.expr(runs)).drop("_h", "_e")
+    begins = "filter(sequence(0, size(_h) - 1), i -> i = 0 OR get(_h, i) != get(_h, i - 1))"
+    sorted_words = df.withColumn("_h", F.expr(f"sort_array(transform({words}, w -> xxhash64(w)))"))
+    found = sorted_words.withColumn("_b", F.expr(f"CASE WHEN size(_h) = 0 THEN cast(array() AS array<int>) ELSE {begins} END"))
+    runs = "cast(arrays_zip(array_distinct(_h), _b, array_append(slice(_b, 2, size(_b)), size(_h))) AS array<struct<term: bigint, start: int, stop: int>>)"
+    zipped = found.withColumn(out, F.expr(f"CASE WHEN size(_h) > 0 THEN {runs} END"))
+    return zipped.drop("_h", "_b")
 
 
 def sample(number: int) -> str:
     """SQL for one sample of a row with ``term``, ``times`` and ``part``: the rank in
-    the high 32 bits, and the sampled term and level as a hash in the low ones."""
-    first = f"xxhash64(term, part, {2 * number})"
-    second = f"xxhash64(term, part, {2 * number + 1})"
-    third, half = "2097152D", "4294967296D"  # 21 and 32 bits
-
-    def uniform(bits: str, size: str) -> str:
-        return f"(({bits}) + 0.5D) / {size}"
-
-    r = f"(-ln({uniform(f'{first} & 2097151L', third)} * {uniform(f'shiftrightunsigned({first}, 21) & 2097151L', third)}))"
-    beta = uniform(f"shiftrightunsigned({first}, 42) & 2097151L", third)
-    log_c = f"ln(-ln({uniform(f'{second} & 4294967295L', half)} * {uniform(f'shiftrightunsigned({second}, 32)', half)}))"
+    the high 32 bits, and the sampled term and level, mixed, in the low ones."""
+    first = f"xxhash64(xxhash64(term, part), {2 * number})"
+    second = f"xxhash64(xxhash64(term, part), {2 * number + 1})"
+    def number_of(bits: str) -> str:  # whole bits, as the middle of their interval
+        return f"(({bits}) + 0.5D)"
+
+    # Bits are numbers below 2 ** 21 or 2 ** 32; the logarithms of these factors are taken off at the end.
+    r = f"({42 * LN_2!r}D - ln({number_of(f'{first} & 2097151L')} * {number_of(f'shiftrightunsigned({first}, 21) & 2097151L')}))"
+    beta = f"({number_of(f'shiftrightunsigned({first}, 42) & 2097151L')} * {2.0**-21!r}D)"
+    log_c = f"ln({64 * LN_2!r}D - ln({number_of(f'{second} & 4294967295L')} * {number_of(f'shiftrightunsigned({second}, 32)')}))"
     level = f"floor(ln(times) / {r} + {beta})"
-    rank = f"({log_c} - {r} * ({level} - {beta}) - {r})"
-    return f"shiftleft(greatest(0L, cast(({rank} + 64D) * 16777216D AS bigint)), 32) | (xxhash64(term, {level}) & 4294967295L)"
+    rank = f"({log_c} - {r} * ({level} - {beta}) - {r})"  # between -70 and 4
+    return f"shiftleft(cast(({rank} + 128D) * 8388608D AS bigint), 32) | ((term ^ ({level} * {SPREAD}L)) & 4294967295L)"
 
 
 def fingerprints(rows: DataFrame, keys: list[str], terms: str, keep: dict[str, Column] | None = None, samples: int = SAMPLES) -> DataFrame:
@@ -66,6 +68,7 @@ def fingerprints(rows: DataFrame, keys: list[str], terms: str, keep: dict[str, C
     keep = keep or {}
     parts = -(-samples // TOGETHER)
     each = rows.select(*keys, *(c.alias(n) for n, c in keep.items()), F.inline_outer(terms))
+    each = each.withColumn("times", F.col("stop") - F.col("start")).drop("start", "stop")
     each = each.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     names = [f"_s{i}" for i in range(TOGETHER)]
     ranked = each.select(*keys, *(F.when(F.col("part") == 0, F.col(n)).alias(n) for n in keep), "part", "term", *(F.expr(sample(i)).alias(n) for i, n in enumerate(names)))
