@@ -26,14 +26,21 @@ def decode_json(
     nested: str | None = None,
     keep: Sequence[str] = (),
     keep_bad: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Decodes the payload column against a declared schema.
 
     Without ``nested`` the payload's fields become the columns, after those in
-    ``keep``. With it all columns stay and the payload is kept whole as one
-    nested field. Text that does not fit gives null fields; ``keep_bad`` adds it
-    as a column, for ``good_rows`` and ``bad_rows`` to split on.
+    ``keep``. With it all columns stay and the payload's declared fields become
+    one nested field; with ``whole`` that field is a variant, which holds the
+    undeclared ones as well. Text that does not fit gives null fields, and a null
+    variant if it is no JSON; ``keep_bad`` adds it as a column, for ``good_rows``
+    and ``bad_rows`` to split on.
     """
+    if whole:
+        if nested is None or keep_bad:
+            raise ValueError("a whole payload needs a nested column, and has no bad rows apart")
+        return df.withColumn(nested, F.try_parse_json(F.col(value).cast("string")))
     data = _parsed(value, schema, keep_bad)
     if nested is None:
         return df.select(*keep, data.alias("_data")).select(*keep, "_data.*")

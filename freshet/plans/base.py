@@ -46,18 +46,20 @@ class Plan:
         """The plan on log records with JSON payloads."""
         return self.run(decode_json(log, self.schema, keep=self.keep), **tables)
 
-    def run_documents(self, log: DataFrame, **tables) -> DataFrame:
+    def run_documents(self, log: DataFrame, whole: bool = False, **tables) -> DataFrame:
         """The plan on log records, as documents.
 
         A document holds the payload's text, the columns the plan has added and
-        the whole payload as ``parsed_data``.
+        the payload's declared fields as ``parsed_data``; with ``whole`` that is a
+        variant with the undeclared ones too.
         """
         payload = self.schema.names
         text = log.withColumn("value", F.col("value").cast("string"))
         decoded = decode_json(text, self.schema, keep=["value", *self.keep])
         done = self.run(decoded, **tables)
         added = [c for c in done.columns if c not in ("value", *self.keep, *payload)]
-        return done.select("value", *added, F.struct(*payload).alias("parsed_data"))
+        data = F.try_parse_json("value") if whole else F.struct(*payload)
+        return done.select("value", *added, data.alias("parsed_data"))
 
     def write(
         self, stream: DataFrame, path: str, checkpoint: str, keyed_state: bool = False, **tables

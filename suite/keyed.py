@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.rules import classify
 from freshet.functions.scalars import exact_avg
-from freshet.operators.clusters import fit_clusters
+from freshet.operators.clusters import fit_clusters, in_order_of_centres
 from freshet.operators.lookups import lookup, member_flag, missing_keys
 from freshet.operators.ordered import changed, halving_fold, latched, running_count, running_sum
 from freshet.operators.ranking import rank_asof
@@ -409,13 +409,17 @@ def log_replay(spark, d):
     return replay(log).select("partition", "offset", F.col("key").cast("string"), F.col("value").cast("string"))
 
 
-@query()
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS transaction_id, value + 1000000.0::DOUBLE * (event_id % 2) AS amount, "
+    f"CAST(k AS DOUBLE) AS distance_km, CAST(event_id % 2 AS INTEGER) AS prediction FROM {EV}"
+)
 def kmeans_clusters(spark, d):
+    """Two clusters that any start separates, numbered by their centres."""
     columns = ["amount", "distance_km"]
     payments = events(spark, d).select(
         F.col("event_id").cast("string").alias("transaction_id"),
-        F.col("value").alias("amount"),
+        (F.col("value") + F.lit(1000000.0) * (F.col("event_id") % 2)).alias("amount"),
         F.col("k").cast("double").alias("distance_km"),
     )
     model = fit_clusters(payments, columns, k=2, seed=1)
-    return PLANS["transaction_clusters"].run(payments, model=model)
+    return in_order_of_centres(model, PLANS["transaction_clusters"].run(payments, model=model))

@@ -32,6 +32,24 @@ def json_nested(spark, d):
     )
 
 
+@query(
+    "SELECT event_id, CAST(k AS INTEGER) AS k, event_type AS kind, event_id AS second, "
+    """'{"k":' || k || ',"kind":"' || event_type || '","seen":[' || user_id || ',' || event_id || ']}' AS parsed_data """
+    f"FROM {EV}"
+)
+def json_whole(spark, d):
+    """A payload with fields that its schema does not declare."""
+    text = F.format_string('{"kind": "%s", "seen": [%d, %d], "k": %d}', "event_type", "user_id", "event_id", "k")
+    whole = decode_json(events(spark, d).withColumn("payload", text), COUNTER, "payload", nested="p", whole=True)
+    return whole.select(
+        "event_id",
+        F.variant_get("p", "$.k", "int").alias("k"),
+        F.variant_get("p", "$.kind", "string").alias("kind"),
+        F.variant_get("p", "$.seen[1]", "bigint").alias("second"),
+        F.to_json("p").alias("parsed_data"),
+    )
+
+
 @query(
     "SELECT event_id, strftime(date_trunc('second', ts) + INTERVAL 500 MILLISECONDS, '%Y-%m-%d %H:%M:%S.%f') AS at "
     "FROM events",

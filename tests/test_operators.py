@@ -15,7 +15,7 @@ from freshet.functions.rules import classify, label
 from freshet.functions.scalars import epoch_to_ts, exact_avg, exact_sum, iso_to_ts, plain_number, safe_ratio
 from freshet.functions.text import keyword_label, lexicon_label, polarity, tokens
 from freshet.operators.aggregates import agg_multi, corr_matrix, group_agg, group_all, group_mean, top_n, volume_alert
-from freshet.operators.clusters import fit_clusters, score
+from freshet.operators.clusters import fit_clusters, in_order_of_centres, score
 from freshet.operators.decode import bad_rows, current_rows, decode_changes, decode_json, encode_json, good_rows
 from freshet.operators.lookups import lookup, member_flag, missing_keys
 from freshet.operators.ranking import positions, weight_above
@@ -51,6 +51,12 @@ def test_payload_kept_nested(records):
     assert out["parsed_data"].asDict() == {"name": "a", "size": 1} and out["topic"] == "t"
 
 
+def test_undeclared_fields_kept_in_a_whole_payload(spark):
+    df = spark.createDataFrame([('{"name": "a", "more": {"x": [1, null]}}',), ("no json",), (None,)], "value string")
+    out = decode_json(df, PAYLOAD, nested="p", whole=True).select(F.to_json("p").alias("p"))
+    assert [r["p"] for r in out.collect()] == ['{"more":{"x":[1,null]},"name":"a"}', None, None]
+
+
 def test_encode_then_decode(spark):
     df = spark.createDataFrame([("a", 1), ("b", None)], PAYLOAD)
     sent = encode_json(df, "name")
@@ -205,6 +211,10 @@ def test_clusters(spark):
     assert len(model.clusterCenters()) == 2
     sizes = sorted(r["count"] for r in score(model, df, ["a", "b"]).groupBy("prediction").count().collect())
     assert sizes == [5, 50]
+    far = score(model, df, ["a", "b"], distance="far").filter("b = 1").groupBy("a").agg(F.max("far").alias("far")).orderBy("a")
+    assert [round(r["far"], 6) for r in far.collect()] == [2.0, 1.0, 0.0, 1.0, 2.0]
+    named = in_order_of_centres(model, score(model, df, ["a", "b"]))
+    assert {(r["b"], r["prediction"]) for r in named.collect()} == {(1.0, 0), (500.0, 1)}
 
 
 # Sources and sinks.

@@ -416,3 +416,9 @@ def test_every_streaming_plan_starts_on_an_empty_stream(spark, tmp_path):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/in")
         stream = parquet_arrivals(spark, f"{folder}/in", schema)
         finish(plan.write(stream, f"{folder}/out", f"{folder}/check", **dims.get(name, {})))
+
+
+def test_documents_with_undeclared_fields(spark):
+    views = [{"user_id": "u1", "product_id": 1, "category": "books", "page": {"from": "x"}}]
+    out = PLANS["interest_profile"].run_documents(logged(spark, views), whole=True).select(F.to_json("parsed_data").alias("p"))
+    assert out.first()["p"] == '{"category":"books","page":{"from":"x"},"product_id":1,"user_id":"u1"}'
