@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import ann, blobs, bpe, cws, lbl, neardup, packing, quality, urls, warc
+from freshet.llm import aligning, ann, blobs, bpe, cws, lbl, neardup, packing, quality, urls, warc
 from freshet.session import configure, shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,9 @@ def op2_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_cws(spark: SparkSession, folder: str) -> DataFrame:
     return cws.fingerprint_edits(table(spark, folder, "documents"))
+
+
+@query()
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizers = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return aligning.align(table(spark, folder, "documents"), *tokenizers)
