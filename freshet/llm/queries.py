@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import aligning, ann, blobs, bpe, cws, lbl, neardup, packing, quality, urls, warc
+from freshet.llm import aligning, ann, blobs, bpe, cws, lbl, lexical, neardup, packing, quality, urls, warc
 from freshet.session import configure, shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,35 @@ def op8_cws(spark: SparkSession, folder: str) -> DataFrame:
 def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     tokenizers = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return aligning.align(table(spark, folder, "documents"), *tokenizers)
+
+
+@query(
+    """
+    WITH words AS (
+        SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+        FROM documents),
+    totals AS (SELECT count(*) FILTER (len(w) > 0) AS nn, sum(len(w))::BIGINT AS ll FROM words),
+    asked AS (
+        SELECT item_id, term, count(*) AS q FROM (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM benchmark) GROUP BY ALL),
+    held AS (
+        SELECT d, doc_id, n, term, count(*) AS tf
+        FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS term FROM words)
+        WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weighed AS (
+        SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::BIGINT AS weight
+        FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals),
+    scored AS (
+        SELECT item_id, d, doc_id, sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll))))::BIGINT AS score
+        FROM asked JOIN held USING (term) JOIN weighed USING (term), totals GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """
+)
+def op13_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
