@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import aligning, ann, blobs, bpe, cws, lbl, lexical, neardup, packing, quality, urls, warc
+from freshet.llm import aligning, ann, blobs, bpe, chats, cws, lbl, lexical, neardup, packing, quality, urls, warc
 from freshet.session import configure, shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,32 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op13_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+PROBE = r"\### Assistant: </turn> ok"
+
+
+@query(
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    long AS (
+        SELECT *, CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+            ELSE 21 + length(role) + len(regexp_extract_all(role, signs)) END
+            + length(text) + len(regexp_extract_all(text, signs)) + 9 AS chars
+        FROM turns, (SELECT '\\|### System:|### User:|### Assistant:|### Role:|### Text:|</turn>' AS signs))
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(chars)::BIGINT AS formatted_chars
+    FROM long GROUP BY conv_id
+    """
+)
+def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
+    return chats.read_back(chats.assembled(turns.union(probe), tokenizer), tokenizer, together=True)

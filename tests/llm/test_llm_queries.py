@@ -41,7 +41,7 @@ def collected(df):
 
 def test_every_operator_has_its_query():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_points.queries()
 
 
 @pytest.mark.parametrize("name", ["op1_url_filter", "op7_warc", "op2_hyperminhash"])
