@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet.operators.ordered import shifted
+
 BAD = "_bad_json"
 
 
@@ -78,6 +80,11 @@ def decode_changes(df: DataFrame, row_schema: T.StructType, value: str = "value"
     )
 
 
+def change_identity(changes: DataFrame, key: str) -> Column:
+    """The key of the row that was changed, from what it is or was."""
+    return F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}"))
+
+
 def current_rows(changes: DataFrame, key: str, order: Sequence[str] = ("ts",)) -> DataFrame:
     """The table that a log of change events leaves behind.
 
@@ -85,8 +92,48 @@ def current_rows(changes: DataFrame, key: str, order: Sequence[str] = ("ts",)) -
     gone. One aggregate with partial results, so a key with many changes sends
     one row per task.
     """
-    identity = F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}"))
-    newest = changes.groupBy(identity.alias("_key")).agg(
+    newest = changes.groupBy(change_identity(changes, key).alias("_key")).agg(
         F.max_by(F.struct("op", "after"), F.struct(*order)).alias("_last")
     )
     return newest.filter(F.col("_last.op") != "d").select("_last.after.*")
+
+
+def row_versions(changes: DataFrame, key: str, order: Sequence[str] = ("ts",), **cut) -> DataFrame:
+    """Every state a row has had: its columns, ``valid_from`` and ``valid_to``.
+
+    Times are the first column of ``order``. A state ends where the key's next change
+    begins, and the newest one is open: null. Deletes end a state and are none themselves. Events
+    with the same key and order are one, however often they were delivered; late ones fall
+    into their place. A key with very many changes is cut as in ``operators.ordered``.
+    """
+    stamps = [f"_o{i}" for i in range(len(order))]
+    keyed = changes.select(
+        change_identity(changes, key).alias("_key"), *(F.col(c).alias(s) for c, s in zip(order, stamps, strict=True)), "op", "after"
+    )
+    once = keyed.groupBy("_key", *stamps).agg(F.max(F.struct("op", "after")).alias("_c"))
+    ended = shifted(once, "_key", stamps, F.col(stamps[0]), "valid_to", back=False, **cut)
+    return ended.filter(F.col("_c.op") != "d").select("_c.after.*", F.col(stamps[0]).alias("valid_from"), "valid_to")
+
+
+def newest_states(changes: DataFrame, key: str, order: Sequence[str] = ("ts",)) -> DataFrame:
+    """The newest state of each key: ``_key`` as text, the order columns, ``deleted``, ``after``."""
+    newest = changes.groupBy(change_identity(changes, key).cast("string").alias("_key")).agg(
+        F.max_by(F.struct(*order, (F.col("op") == "d").alias("deleted"), "after"), F.struct(*order)).alias("_s")
+    )
+    return newest.select("_key", "_s.*")
+
+
+def merged_changes(base: DataFrame, delta: DataFrame) -> DataFrame:
+    """A table of newest states after a delta, both as ``newest_states`` gives them.
+
+    Tombstones stay, so deltas may overlap the base and each other and may come late.
+    """
+    order = [c for c in base.columns if c not in ("_key", "deleted", "after")]
+    both = base.unionByName(delta.select(*base.columns))
+    newest = both.groupBy("_key").agg(F.max_by(F.struct(*order, "deleted", "after"), F.struct(*order)).alias("_s"))
+    return newest.select("_key", "_s.*")
+
+
+def living(states: DataFrame) -> DataFrame:
+    """The rows of a table of newest states, without the deleted ones."""
+    return states.filter(~F.col("deleted")).select("after.*")

@@ -32,3 +32,23 @@ def member_flag(df: DataFrame, members: DataFrame, on: str, out: str) -> DataFra
     """Whether the key is in the set."""
     known = members.select(on).distinct().withColumn("_member", F.lit(True))
     return df.join(known, on, "left").withColumn(out, F.col("_member").isNotNull()).drop("_member")
+
+
+def first_written(
+    df: DataFrame, key: str, order: str, offered: str, out: str, seed: DataFrame | None = None
+) -> DataFrame:
+    """The value that was first offered for the key, as it stood at each record.
+
+    A record that offers a value where none is yet sets it, and sees it. Null offers
+    none. ``seed`` holds one row per key with a value ``out`` set before. Two small
+    aggregates and joins, so no key's rows need to be sorted.
+    """
+    offers = df.filter(F.col(offered).isNotNull()).groupBy(F.col(key).alias("_k"))
+    firsts = offers.agg(F.min(F.struct(F.col(order).alias("at"), F.col(offered).alias("value"))).alias("_first"))
+    rows = df.join(firsts, df[key].eqNullSafe(firsts["_k"]), "left").drop("_k")
+    known = F.when(F.col(order) >= F.col("_first.at"), F.col("_first.value"))
+    if seed is not None:
+        before = seed.select(F.col(key).alias("_k"), F.col(out).alias("_set"))
+        rows = rows.join(before, rows[key] == before["_k"], "left").drop("_k")
+        known = F.coalesce("_set", known)
+    return rows.withColumn(out, known).drop("_first", "_set")

@@ -15,7 +15,8 @@ a window. Rows that are equal in key and order stay in one block.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -27,6 +28,7 @@ from freshet.functions.scalars import as_column
 from freshet.session import shared_path
 
 HOT_ROWS = 4_000_000  # rows of one key that a single task may sort
+FOLD_ROWS = 100_000  # rows of one key that one expression folds
 HOT_KEYS = 10_000  # hot keys that may be broadcast; beyond it all keys are cut
 KEY, BLOCK = "_key", "_block"
 
@@ -171,43 +173,115 @@ def latched(
     return counted.withColumn(out, blocked).drop("_failed", "_seeded")
 
 
-def halving_fold(
+@dataclass(frozen=True)
+class Fold:
+    """A way to run through ordered values that can be cut anywhere.
+
+    ``lift`` turns a value into what its step does to the state so far, ``join``
+    makes one such partial of two that follow each other, ``identity`` does
+    nothing, and ``result`` is the state a partial leads to. ``join`` must be
+    associative; it need not be commutative.
+    """
+
+    lift: Callable[[Column], Column]
+    join: Callable[[Column, Column], Column]
+    identity: Column
+    result: Callable[[Column], Column]
+
+    def part(self, value: Column) -> Column:
+        """The partial of one value; a null one changes nothing."""
+        return F.when(value.isNull(), self.identity).otherwise(self.lift(value))
+
+
+def affine(factor: float, gain: float, start: float | None = None) -> Fold:
+    """s = factor * s + gain * v, from ``start`` or else from the first value."""
+
+    def partial(begun: Column, by: Column, plus: Column) -> Column:
+        return F.struct(begun.cast("double").alias("begun"), by.alias("by"), plus.alias("plus"))
+
+    def join(x: Column, y: Column) -> Column:
+        begun = F.coalesce(y["by"] * x["begun"] + y["plus"], y["begun"])
+        return partial(begun, x["by"] * y["by"], y["by"] * x["plus"] + y["plus"])
+
+    return Fold(
+        lift=lambda v: partial(v, F.lit(float(factor)), F.lit(float(gain)) * v.cast("double")),
+        join=join,
+        identity=partial(F.lit(None), F.lit(1.0), F.lit(0.0)),
+        result=lambda p: p["begun"] if start is None else p["by"] * F.lit(float(start)) + p["plus"],
+    )
+
+
+def clamped(low: int, high: int, start: int = 0) -> Fold:
+    """s = s + v, held between ``low`` and ``high`` after each step; whole numbers."""
+    least, most = F.lit(-(1 << 62)).cast("long"), F.lit(1 << 62).cast("long")
+
+    def partial(shift: Column, floor: Column, top: Column) -> Column:
+        return F.struct(shift.cast("long").alias("shift"), floor.cast("long").alias("floor"), top.cast("long").alias("top"))
+
+    def held(s: Column, p: Column) -> Column:
+        return F.least(F.greatest(s, p["floor"]), p["top"])
+
+    return Fold(
+        lift=lambda v: partial(v, F.lit(low), F.lit(high)),
+        join=lambda x, y: partial(
+            x["shift"] + y["shift"], held(x["floor"] + y["shift"], y), held(x["top"] + y["shift"], y)
+        ),
+        identity=partial(F.lit(0), least, most),
+        result=lambda p: held(F.lit(start).cast("long") + p["shift"], p),
+    )
+
+
+def folded_parts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], part: str, fold: Fold, span: int, hot_rows: int
+) -> DataFrame:
+    """One row per key: the keys and ``part``, all its partials joined in order.
+
+    A block's partials are put in order and joined in one expression. The blocks of a
+    hot key leave one partial each; these are rows again, and are joined the same way.
+    """
+    blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
+    rows = F.array_sort(F.collect_list(F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order)), F.col(part).alias("_p"))))
+    joined = F.aggregate(rows, fold.identity, lambda done, row: fold.join(done, row["_p"])).alias(part)
+    parts = blocked.groupBy(*groups).agg(joined)
+    if groups == list(keys):
+        return parts
+    path = shared_path(df.sparkSession, "folds")
+    parts.select(*(F.col(f"{KEY}.{k}") for k in keys), F.col(BLOCK).alias("_after"), part).write.parquet(path)
+    return folded_parts(df.sparkSession.read.parquet(path), keys, ["_after"], part, fold, span, hot_rows)
+
+
+def ordered_fold(
     df: DataFrame,
     keys: str | Sequence[str],
     order: str | Sequence[str],
     value: str | Column,
     out: str,
-    span: int = HOT_ROWS,
-    hot_rows: int = HOT_ROWS,
+    fold: Fold,
+    span: int = FOLD_ROWS,
+    hot_rows: int = FOLD_ROWS,
 ) -> DataFrame:
-    """The result of s = (s + v) / 2 over the ordered values of each key.
+    """The state of each key after all its values in order.
 
-    The fold starts at the first value. Unrolled it is a weighted sum: the last
-    value weighs 1/2, the one before 1/4, and so on, with the first value's
-    weight doubled. Sums of that kind can be taken per block and added up.
+    Null values change nothing, wherever they stand; a key with no other values has
+    the start, or null. Values that are equal in order are taken in any order.
     """
     keys, order, value = listed(keys), listed(order), as_column(value)
-    blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
-    from_end = Window.partitionBy(*groups).orderBy(*(F.col(c).desc() for c in order))
-    half = F.lit(0.5)
-    numbered = blocked.withColumn("_n", F.row_number().over(from_end))
-    parts = numbered.groupBy(*groups).agg(
-        F.count("*").alias("_rows"),
-        F.sum(value * F.pow(half, F.col("_n"))).alias("_part"),
-        F.max_by(value, F.col("_n")).alias("_first"),
-    )
-    if groups != keys:
-        later = Window.partitionBy(KEY).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        after = F.coalesce(F.sum("_rows").over(later), F.lit(0))
-        parts = (
-            parts.withColumn("_part", F.col("_part") * F.pow(half, after))
-            .groupBy(KEY)
-            .agg(
-                F.sum("_rows").alias("_rows"),
-                F.sum("_part").alias("_part"),
-                F.min_by("_first", F.coalesce(F.col(BLOCK), F.lit(0))).alias("_first"),
-            )
-            .select("*", f"{KEY}.*")
-        )
-    start = F.col("_first") * F.pow(half, F.col("_rows"))
-    return parts.select(*keys, (F.col("_part") + start).alias(out))
+    rows = df.select(*keys, *order, fold.part(value).alias("_part"))
+    parts = folded_parts(rows, keys, order, "_part", fold, span, hot_rows)
+    return parts.select(*keys, fold.result(F.col("_part")).alias(out))
+
+
+HALVING = (0.5, 0.5)
+
+
+def halving_fold(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    order: str | Sequence[str],
+    value: str | Column,
+    out: str,
+    span: int = FOLD_ROWS,
+    hot_rows: int = FOLD_ROWS,
+) -> DataFrame:
+    """The result of s = (s + v) / 2 over the ordered values of each key, from the first value that is not null."""
+    return ordered_fold(df, keys, order, value, out, affine(*HALVING), span, hot_rows)

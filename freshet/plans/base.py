@@ -27,6 +27,8 @@ class Plan:
     alone; carried does so with the state of the one before; batch has no stream
     form. ``on_stream`` replaces the transform on a stream where keyed state is
     needed. ``on_batches(folder, sink)`` makes the callback for carried state.
+    ``finish(batch, schema)`` makes rows of each micro-batch that ``on_stream`` gives,
+    where those are parts of rows.
     ``keep`` names the log columns the transform reads besides the payload.
     """
 
@@ -37,6 +39,7 @@ class Plan:
     on_stream: Callable[..., DataFrame] | None = None
     keep: tuple[str, ...] = ()
     on_batches: Callable[..., Batch] | None = None
+    finish: Callable[[DataFrame, T.StructType], DataFrame] | None = None
 
     def run(self, df: DataFrame, **tables) -> DataFrame:
         """The plan on decoded rows."""
@@ -75,6 +78,10 @@ class Plan:
         if self.on_batches and not (keyed_state and self.on_stream):
             each = self.on_batches(f"{checkpoint}-carried", lambda b, n: append_batch(b, path, n), **tables)
             return runs.to_batches(stream, each, checkpoint)
+        if self.finish:
+            whole = lambda batch: self.finish(batch, stream.schema)
+            each = runs.per_batch(whole, lambda b, n: append_batch(b, path, n))
+            return runs.to_batches(self.run(stream, **tables), each, checkpoint)
         if self.mode == "per_batch":
             each = runs.per_batch(lambda batch: self.transform(batch, **tables), lambda b, n: append_batch(b, path, n))
             return runs.to_batches(stream, each, checkpoint)
@@ -90,11 +97,12 @@ def plan(
     on_stream: Callable[..., DataFrame] | None = None,
     keep: tuple[str, ...] = (),
     on_batches: Callable[..., Batch] | None = None,
+    finish: Callable[[DataFrame, T.StructType], DataFrame] | None = None,
 ):
     """Registers a transform as the plan of its name."""
 
     def register(transform: Callable[..., DataFrame]) -> Plan:
-        made = Plan(transform.__name__, schema, transform, mode, on_stream, keep, on_batches)
+        made = Plan(transform.__name__, schema, transform, mode, on_stream, keep, on_batches, finish)
         PLANS[made.name] = made
         return made
 

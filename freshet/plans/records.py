@@ -13,13 +13,15 @@ from freshet import schemas as S
 from freshet.functions.scalars import plain_number
 from freshet.functions.rules import classify, label
 from freshet.functions.text import tokens
-from freshet.operators.lookups import lookup
+from freshet.operators.lookups import first_written, lookup
 from freshet.operators.ordered import changed, halving_fold, latched, running_count
 from freshet.operators.ranking import rank_asof
 from freshet.operators.windows import with_window
 from freshet.plans import values as V
 from freshet.plans.base import plan
+from freshet.streaming import processors
 from freshet.streaming.carried import changed_batches, latched_batches, rank_batches, running_count_batches
+from freshet.streaming.ranks import rank_parts, ranks
 from freshet.streaming.runs import Batch
 from freshet.streaming.state import changed_stream, latched_stream, running_sum_stream, windowed_fold_stream
 
@@ -75,11 +77,31 @@ def zone_violations(df: DataFrame, planned: DataFrame) -> DataFrame:
     return expected.withColumn("violation", F.col("current_zone") != F.col("planned_zone")).drop("planned_zone")
 
 
+def _claimed(rows: DataFrame) -> DataFrame:
+    """Compares with the plan as it stood; the default stands in only where none was offered."""
+    expected = F.coalesce("planned_zone", F.lit(V.PLANNED_ZONE))
+    return rows.withColumn("violation", F.col("current_zone") != expected)
+
+
+def _zones_on_stream(df: DataFrame, seq: str = "offset", planned: DataFrame | None = None) -> DataFrame:
+    return _claimed(processors.first_written(df, "truck_id", seq, "offered_zone", "planned_zone", planned))
+
+
+@plan(S.OFFERED_ZONE, on_stream=_zones_on_stream, keep=ORDER)
+def claimed_zones(df: DataFrame, seq: str = "offset", planned: DataFrame | None = None) -> DataFrame:
+    """The zone first planned for the truck, by a record or before, and whether it is elsewhere."""
+    return _claimed(first_written(df, "truck_id", seq, "offered_zone", "planned_zone", planned))
+
+
 def _ranks_on_batches(folder: str, sink: Batch, seq: str = "offset", **options) -> Batch:
     return rank_batches("player", seq, "points", folder, sink, **options)
 
 
-@plan(S.PLAYER, mode="carried", keep=ORDER, on_batches=_ranks_on_batches)
+def _ranks_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
+    return rank_parts(df, "player", seq, "points")
+
+
+@plan(S.PLAYER, on_stream=_ranks_on_stream, keep=ORDER, on_batches=_ranks_on_batches, finish=ranks)
 def player_ranks(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Running score and rank among all players at each record."""
     return rank_asof(df, "player", seq, "points")
@@ -147,11 +169,18 @@ def word_counts(df: DataFrame) -> DataFrame:
     return tokens(df.select("text"), "text").groupBy("word").agg(F.count("*").alias("count"))
 
 
-@plan(S.COMMENT, mode="batch", keep=ORDER)
+def _placed_words(df: DataFrame, seq: str) -> DataFrame:
+    return tokens(df.select(seq, "text"), "text", "word", "position").drop("text")
+
+
+def _word_counts_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
+    return processors.running_total(_placed_words(df, seq), "word", [seq, "position"], None, "count")
+
+
+@plan(S.COMMENT, on_stream=_word_counts_on_stream, keep=ORDER)
 def running_word_counts(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Every word with its count so far, in the order of texts and words."""
-    words = tokens(df.select(seq, "text"), "text", "word", "position").drop("text")
-    return running_count(words, "word", [seq, "position"], "count")
+    return running_count(_placed_words(df, seq), "word", [seq, "position"], "count")
 
 
 @plan(S.PAYMENT)

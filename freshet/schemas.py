@@ -44,6 +44,7 @@ DEMAND = schema(item_id="string", demand_index="integer", timestamp="double")
 CARD_USE = schema(card_id="string", amount="integer", country="string")
 THERMOSTAT = schema(device_id="string", temp="integer")
 TRUCK = schema(truck_id="string", current_zone="string")
+OFFERED_ZONE = schema(truck_id="string", current_zone="string", offered_zone="string")
 PLAYER = schema(player="string", points="integer")
 QUOTE = schema(symbol="string", price="integer")
 POST = schema(post_id="integer", tag="string")

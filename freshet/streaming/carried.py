@@ -19,8 +19,9 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from freshet.operators.ordered import changed, halving_fold, latched, listed, running_sum
+from freshet.operators.ordered import FOLD_ROWS, HALVING, Fold, affine, changed, folded_parts, latched, listed, running_sum
 from freshet.operators.ranking import rank_asof
 from freshet.streaming.runs import Batch
 
@@ -54,6 +55,14 @@ def with_column_first(each: Batch, name: str, value: Column) -> Batch:
     return lambda batch, batch_id: each(batch.withColumn(name, value), batch_id)
 
 
+def widened(df: DataFrame, name: str) -> DataFrame:
+    """A column in the type of its sums: the same for every micro-batch."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return df.withColumn(name, F.col(name).cast(T.DecimalType(38, kind.scale)))
+    return df.withColumn(name, F.col(name).cast("long" if isinstance(kind, T.IntegralType) else "double"))
+
+
 def running_sum_batches(
     keys: str | Sequence[str], seq: str, value: Column, out: str, folder: str, sink: Batch, **cut
 ) -> Batch:
@@ -65,7 +74,7 @@ def running_sum_batches(
         folder,
         sink,
     )
-    return with_column_first(each, "_step", value.cast("long"))
+    return lambda batch, batch_id: each(widened(batch.withColumn("_step", value), "_step"), batch_id)
 
 
 def running_count_batches(keys, seq: str, out: str, folder: str, sink: Batch, **cut) -> Batch:
@@ -97,19 +106,30 @@ def latched_batches(
     return with_column_first(each, "_fails", F.when(failing, 1).otherwise(0).cast("long"))
 
 
-def halving_fold_batches(
-    keys: str | Sequence[str], seq: str, value: str, out: str, folder: str, sink: Batch, **cut
+def ordered_fold_batches(
+    keys: str | Sequence[str], seq: str, value: str, out: str, fold: Fold, folder: str, sink: Batch,
+    span: int = FOLD_ROWS, hot_rows: int = FOLD_ROWS,
 ) -> Batch:
     """The fold of each key after every micro-batch, for keys seen so far."""
     keys = listed(keys)
-    folded = lambda rows: halving_fold(rows, keys, seq, value, out, **cut)
-    return carried(
-        lambda rows: folded(rows).withColumn(seq, F.lit(0)),
-        lambda rows: folded(rows).withColumnRenamed(out, value),
+
+    def parts(rows: DataFrame) -> DataFrame:
+        return folded_parts(rows.select(*keys, seq, "_part"), keys, [seq], "_part", fold, span, hot_rows)
+
+    each = carried(
+        lambda rows: parts(rows).select(*keys, fold.result(F.col("_part")).alias(out), F.lit(0).alias(seq)),
+        parts,
         seq,
         folder,
         lambda result, n: sink(result.drop(seq), n),
     )
+    return with_column_first(each, "_part", fold.part(F.col(value)))
+
+
+def halving_fold_batches(
+    keys: str | Sequence[str], seq: str, value: str, out: str, folder: str, sink: Batch, **cut
+) -> Batch:
+    return ordered_fold_batches(keys, seq, value, out, affine(*HALVING), folder, sink, **cut)
 
 
 def rank_batches(key: str, seq: str, points: str, folder: str, sink: Batch, **options) -> Batch:

@@ -95,12 +95,16 @@ def latched_stream(
 
 def _folded(values: pd.Series, before: float | None) -> pd.Series:
     """The fold after each value: an exponential mean of weight 1/2 that starts
-    at the state so far, or at the first value."""
+    at the state so far, or at the first value. Nulls leave it as it is."""
     values = values.astype("float64").reset_index(drop=True)
     if before is None:
-        return values.ewm(alpha=0.5, adjust=False).mean()
+        return values.ewm(alpha=0.5, adjust=False, ignore_na=True).mean()
     with_state = pd.concat([pd.Series([before]), values], ignore_index=True)
-    return with_state.ewm(alpha=0.5, adjust=False).mean().iloc[1:].reset_index(drop=True)
+    return with_state.ewm(alpha=0.5, adjust=False, ignore_na=True).mean().iloc[1:].reset_index(drop=True)
+
+
+def _or_none(value: float) -> float | None:
+    return None if pd.isna(value) else float(value)
 
 
 def halving_fold_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str, out: str) -> DataFrame:
@@ -108,7 +112,7 @@ def halving_fold_stream(df: DataFrame, keys: Sequence[str], seq: str, value: str
 
     def step(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
         folded = _folded(rows[value], state[0])
-        return rows.assign(**{out: folded}), (float(folded.iloc[-1]),)
+        return rows.assign(**{out: folded}), (_or_none(folded.iloc[-1]),)
 
     return keyed(
         df, keys, seq, step, T.StructType().add(out, "double"), T.StructType().add("folded", "double"), (None,)
@@ -135,7 +139,7 @@ def windowed_fold_stream(
             return
         rows = pd.concat(list(chunks), ignore_index=True).sort_values(seq)
         folded = _folded(rows[value], held.get[0] if held.exists else None)
-        held.update((float(folded.iloc[-1]),))
+        held.update((_or_none(folded.iloc[-1]),))
         held.setTimeoutTimestamp(pd.Timestamp(key[1]).value // 1_000_000)  # the window's end, in ms
 
     state = T.StructType().add("folded", "double")

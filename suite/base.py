@@ -43,6 +43,15 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.withColumn("k", F.col("_p.k")).drop("_p")
 
 
+def shortened(df: DataFrame, **digits: int) -> DataFrame:
+    """Results cut to some decimals, so that the order of adding does not show in the comparison."""
+    return df.withColumns({c: F.floor(F.col(c) * 10.0**n + 0.3) / 10.0**n for c, n in digits.items()})
+
+
+def shortened_sql(value: str, digits: int) -> str:
+    return f"floor(({value}) * {10.0**digits}::DOUBLE + 0.3::DOUBLE) / {10.0**digits}::DOUBLE"
+
+
 def second(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias(ts)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.functions.scalars import calendar_date, count_true, exact_avg, exact_sum, safe_ratio
+from freshet.functions.scalars import calendar_date, count_true, safe_ratio
 from freshet.operators.aggregates import (
     agg_multi,
     corr_matrix,
@@ -15,18 +15,15 @@ from freshet.operators.aggregates import (
     volume_alert,
 )
 from freshet.plans.catalog import PLANS
-from suite.base import EV, events, query, read
+from suite.base import EV, events, query, read, shortened, shortened_sql
 from suite.projections import CUSTOMERS, customers
 
-CENTS = "CAST(round({} * 100) AS BIGINT)"
-
-
 def total(column):
-    return f"CAST(sum({CENTS.format(column)}) AS DOUBLE) / 100"
+    return shortened_sql(f"sum({column}::DOUBLE)", 2)
 
 
 def mean(column):
-    return f"CAST(sum({CENTS.format(column)}) AS DOUBLE) / count({column}) / 100"
+    return shortened_sql(f"avg({column}::DOUBLE)", 6)
 
 
 @query(
@@ -34,17 +31,18 @@ def mean(column):
     f"{mean('l_extendedprice')} AS mean_price FROM lineitem GROUP BY 1, 2"
 )
 def group_mean(spark, d):
-    return group_agg(
+    means = group_agg(
         read(spark, d, "lineitem"),
         ["l_returnflag", "l_linestatus"],
-        mean_quantity=exact_avg("l_quantity"),
-        mean_price=exact_avg("l_extendedprice"),
+        mean_quantity=F.avg("l_quantity"),
+        mean_price=F.avg("l_extendedprice"),
     )
+    return shortened(means, mean_quantity=6, mean_price=6)
 
 
 @query(f"SELECT user_id, {total('value')} AS total_value FROM events GROUP BY user_id")
 def group_sum(spark, d):
-    return group_agg(read(spark, d, "events"), "user_id", total_value=exact_sum("value"))
+    return shortened(group_agg(read(spark, d, "events"), "user_id", total_value=F.sum("value")), total_value=2)
 
 
 @query("SELECT user_id, event_type, count(*) AS count FROM events GROUP BY 1, 2")
@@ -133,13 +131,14 @@ def worst_towers(spark, d):
     f"{mean('o_totalprice')} AS mean_price FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey"
 )
 def revenue_stats(spark, d):
-    return group_agg(
+    stats = group_agg(
         read(spark, d, "orders").filter(F.col("o_orderstatus") == "F"),
         "o_custkey",
-        total_revenue=exact_sum("o_totalprice"),
+        total_revenue=F.sum("o_totalprice"),
         total_bookings=F.count("o_orderkey"),
-        mean_price=exact_avg("o_totalprice"),
+        mean_price=F.avg("o_totalprice"),
     )
+    return shortened(stats, total_revenue=2, mean_price=6)
 
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -162,10 +161,10 @@ def alert_keys(spark, d):
     return distinct_keys(read(spark, d, "events").filter(F.col("value") > 200), "user_id")
 
 
-@query(f"SELECT user_id, {mean('value')} AS mean_value FROM events GROUP BY 1 HAVING {mean('value')} > 50")
+@query(f"SELECT user_id, {mean('value')} AS mean_value FROM events GROUP BY 1 HAVING avg(value::DOUBLE) > 50")
 def having_mean(spark, d):
-    means = group_agg(read(spark, d, "events"), "user_id", mean_value=exact_avg("value"))
-    return means.filter(F.col("mean_value") > 50)
+    means = group_agg(read(spark, d, "events"), "user_id", mean_value=F.avg("value"))
+    return shortened(means.filter(F.col("mean_value") > 50), mean_value=6)
 
 
 @query(f"SELECT user_id, CAST(sum(k) AS BIGINT) AS total FROM {EV} GROUP BY 1 HAVING sum(k) > 3300")
@@ -204,9 +203,8 @@ PARTS = f"SELECT l_partkey, {mean('l_quantity')} AS mean_quantity, count(*) AS l
 
 
 def parts(spark, d):
-    return group_agg(
-        read(spark, d, "lineitem"), "l_partkey", mean_quantity=exact_avg("l_quantity"), lines=F.count("*")
-    )
+    means = group_agg(read(spark, d, "lineitem"), "l_partkey", mean_quantity=F.avg("l_quantity"), lines=F.count("*"))
+    return shortened(means, mean_quantity=6)
 
 
 @query(f"{PARTS} ORDER BY mean_quantity DESC, l_partkey LIMIT 20", name="top_n")

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.functions.rules import classify
-from freshet.functions.scalars import exact_avg
 from freshet.operators.clusters import fit_clusters, in_order_of_centres
 from freshet.operators.lookups import lookup, member_flag, missing_keys
-from freshet.operators.ordered import changed, halving_fold, latched, running_count, running_sum
+from freshet.operators.ordered import affine, changed, clamped, halving_fold, latched, ordered_fold, running_count, running_sum
 from freshet.operators.ranking import rank_asof
 from freshet.operators.windows import windowed
 from freshet.plans.catalog import PLANS
 from freshet.sources.log import as_log, replay
-from suite.base import EV, clock, events, query, read, second
+from suite.base import EV, clock, events, query, read, second, shortened, shortened_sql
 
 # Suppliers are the lookup table of the users: they cover some of them.
 
@@ -102,6 +101,34 @@ def plan_deviation(spark, d):
     return PLANS["zone_violations"].run(trucks, planned=planned)
 
 
+CLAIMED_SQL = (
+    "SELECT user_id AS truck_id, event_id, event_type AS current_zone, offered_zone, planned_zone, "
+    "event_type <> coalesce(planned_zone, 'transit') AS violation FROM (SELECT *, coalesce(CASE WHEN s_suppkey IS NULL THEN NULL "
+    "WHEN s_nationkey < 8 THEN 'click' WHEN s_nationkey < 16 THEN 'view' ELSE 'error' END, "
+    "first_value(offered_zone IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)) AS planned_zone "
+    f"FROM (SELECT *, CASE WHEN k % 5 = 0 THEN event_type END AS offered_zone FROM {EV}) "
+    "LEFT JOIN supplier ON user_id = s_suppkey)"
+)
+
+
+def planned_zones(spark, d):
+    zone = F.when(F.col("s_nationkey") < 8, "click").when(F.col("s_nationkey") < 16, "view").otherwise("error")
+    return read(spark, d, "supplier").select(F.col("s_suppkey").alias("truck_id"), zone.alias("planned_zone"))
+
+
+def offered_zones(rows):
+    k = F.get_json_object("props", "$.k").cast("int")
+    offered = F.when(k % 5 == 0, F.col("event_type")).alias("offered_zone")
+    return rows.select(F.col("user_id").alias("truck_id"), "event_id", F.col("event_type").alias("current_zone"), offered)
+
+
+@query(CLAIMED_SQL)
+def plan_first_written(spark, d):
+    """Plans that are set by the first record to offer one, unless they were there before."""
+    trucks = offered_zones(read(spark, d, "events"))
+    return PLANS["claimed_zones"].run(trucks, seq="event_id", planned=planned_zones(spark, d))
+
+
 @query("SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)")
 def plan_missing_keys(spark, d):
     return missing_keys(read(spark, d, "events"), profiles(spark, d), "user_id")
@@ -129,7 +156,7 @@ def shown(df):
 
 SLIDING_SQL = (
     f"SELECT {clock('s')} AS window_start, {clock(f's + {2 * SIX}')} AS window_end, event_type, "
-    "CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(value) / 100 AS average_value "
+    f"{shortened_sql('avg(value::DOUBLE)', 6)} AS average_value "
     f"FROM (SELECT *, floor(epoch(ts) / {SIX}) * {SIX} AS s FROM events UNION ALL "
     f"SELECT *, floor(epoch(ts) / {SIX}) * {SIX} - {SIX} AS s FROM events) GROUP BY s, event_type"
 )
@@ -137,8 +164,9 @@ SLIDING_SQL = (
 
 @query(SLIDING_SQL)
 def sliding_avg(spark, d):
-    mean = {"average_value": exact_avg("value")}
-    return shown(windowed(read(spark, d, "events"), "ts", "12 hours", ["event_type"], mean, slide="6 hours"))
+    mean = {"average_value": F.avg("value")}
+    means = windowed(read(spark, d, "events"), "ts", "12 hours", ["event_type"], mean, slide="6 hours")
+    return shortened(shown(means), average_value=6)
 
 
 TUMBLING_SQL = (
@@ -388,6 +416,44 @@ def pairwise_fold_cut(spark, d):
     return millionths(folded)
 
 
+# Levels: what each event brings or takes, nulls among them, held between two bounds.
+BOUNDS = (0, 120, 10)
+CHANGE_SQL = "CASE WHEN k % 4 = 0 THEN NULL ELSE k - 60 END"
+CLAMP_SQL = (
+    f"CAST(list_reduce(list_prepend({BOUNDS[2]}, list({CHANGE_SQL} ORDER BY event_id) FILTER ({CHANGE_SQL} IS NOT NULL)), "
+    f"lambda s, v: least(greatest(s + v, {BOUNDS[0]}), {BOUNDS[1]})) AS BIGINT) AS level"
+)
+
+
+def levels(rows):
+    k = F.get_json_object("props", "$.k").cast("int")
+    return rows.select("event_id", "user_id", F.when(k % 4 != 0, k - 60).alias("change"))
+
+
+@query(f"SELECT user_id, {CLAMP_SQL} FROM {EV} GROUP BY user_id")
+def fold_clamped(spark, d):
+    return ordered_fold(levels(read(spark, d, "events")), "user_id", "event_id", "change", "level", clamped(*BOUNDS))
+
+
+@query(f"SELECT user_id, {CLAMP_SQL} FROM {EV} GROUP BY user_id")
+def fold_clamped_cut(spark, d):
+    """The same in blocks of a few dozen rows, their partials folded again and again."""
+    rows = levels(read(spark, d, "events"))
+    return ordered_fold(rows, "user_id", "event_id", "change", "level", clamped(*BOUNDS), span=40, hot_rows=30)
+
+
+@query(
+    "SELECT user_id, CAST(floor(list_reduce(list_prepend(100.0::DOUBLE, list(value::DOUBLE ORDER BY event_id) "
+    "FILTER (event_type <> 'view')), lambda s, v: 0.75 * s + 0.125 * v) * 1000000 + 0.3::DOUBLE) AS BIGINT) AS folded_millionths "
+    "FROM events GROUP BY user_id"
+)
+def fold_affine(spark, d):
+    """A level that fades and is fed; views are nulls and feed nothing."""
+    fed = F.when(F.col("event_type") != "view", F.col("value"))
+    rows = read(spark, d, "events").withColumn("fed", fed)
+    return millionths(ordered_fold(rows, "user_id", "event_id", "fed", "folded", affine(0.75, 0.125, 100.0), span=40, hot_rows=30))
+
+
 @query(
     f"SELECT {SIX_START} AS window_start, {SIX_END} AS window_end, event_type AS sensor, "
     f"{FOLD_SQL} FROM events GROUP BY 1, 2, 3"

@@ -6,7 +6,16 @@ from pyspark.sql import functions as F
 
 from freshet.functions.scalars import epoch_to_ts, iso_to_ts, safe_ratio
 from freshet.functions.text import lexicon_label
-from freshet.operators.decode import current_rows, decode_changes, decode_json, encode_json
+from freshet.operators.decode import (
+    current_rows,
+    decode_changes,
+    decode_json,
+    encode_json,
+    living,
+    merged_changes,
+    newest_states,
+    row_versions,
+)
 from freshet.plans import values as V
 from freshet.plans.catalog import PLANS
 from freshet.schemas import schema
@@ -314,3 +323,39 @@ def cdc_decode(spark, d):
 @query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")
 def cdc_current(spark, d):
     return current_rows(decode_changes(order_changes(spark, d), CHANGED), "id", ["ts", "offset"])
+
+
+VERSIONS_SQL = (
+    "WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS st, epoch_ms(o_orderdate) AS ms FROM orders), "
+    "c AS (SELECT id * 3 AS n, 'u' AS op, id, 'O' AS status, ms AS ts FROM o "
+    "UNION ALL SELECT id * 3 + 1, 'u', id, st, ms + 1000 FROM o "
+    "UNION ALL SELECT id * 3 + 2, CASE WHEN st = 'P' THEN 'd' ELSE 'u' END, id, st, ms + 1000 FROM o), "
+    "v AS (SELECT *, lead(ts) OVER (PARTITION BY id ORDER BY ts, n) AS valid_to FROM c) "
+    "SELECT id, status, ts AS valid_from, valid_to FROM v WHERE op <> 'd'"
+)
+
+
+def doubled_changes(spark, d):
+    """The changes, every second one delivered twice."""
+    log = order_changes(spark, d)
+    return decode_changes(log.union(log.filter("offset % 2 = 0")), CHANGED)
+
+
+@query(VERSIONS_SQL)
+def cdc_versions(spark, d):
+    return row_versions(doubled_changes(spark, d), "id", ["ts", "offset"])
+
+
+@query(VERSIONS_SQL)
+def cdc_versions_cut(spark, d):
+    """The same with every key cut into blocks of rows."""
+    return row_versions(doubled_changes(spark, d), "id", ["ts", "offset"], span=2000, hot_rows=2)
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")
+def cdc_merged(spark, d):
+    """A base of the first changes and two overlapping deltas, compacted."""
+    changes = decode_changes(order_changes(spark, d), CHANGED)
+    states = newest_states(changes, "id", ["ts", "offset"])
+    parts = [newest_states(changes.filter(c), "id", ["ts", "offset"]) for c in ("offset % 3 = 0", "offset % 3 > 0")]
+    return living(merged_changes(merged_changes(parts[0], parts[1]), states))

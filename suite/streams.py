@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.functions.scalars import exact_avg
 from freshet.operators.aggregates import group_agg
+from freshet.operators.decode import decode_changes, living, merged_changes
+from freshet.operators.ordered import clamped
 from freshet.operators.windows import windowed
 from freshet.plans.catalog import PLANS
 from freshet.session import configure, shared_path
@@ -17,11 +18,16 @@ from freshet.sinks.documents import append_documents, write_documents
 from freshet.sinks.tables import append_batch, latest_rows
 from freshet.sources.files import documents, parquet_arrivals, zoned
 from freshet.streaming import runs
+from freshet.streaming import processors
+from freshet.streaming.carried import ordered_fold_batches
 from freshet.streaming.state import halving_fold_stream
-from suite.base import EV, clock, events, query, read
+from suite.base import EV, clock, events, query, read, second, shortened
 from suite.grouped import CALLS, SCORES
 from suite.keyed import (
     BLOCKED_SQL,
+    BOUNDS,
+    CLAIMED_SQL,
+    CLAMP_SQL,
     FOLD_SQL,
     LOOKUP_SQL,
     RANK_SQL,
@@ -29,21 +35,39 @@ from suite.keyed import (
     SIX_END,
     SIX_START,
     SLIDING_SQL,
+    WORDS_SQL,
     blacklist,
+    levels,
     millionths,
+    offered_zones,
+    planned_zones,
     profiles,
     shown,
 )
-from suite.projections import FLIGHTS
+from suite.projections import CHANGED, FLIGHTS, order_changes
 
 
-def arriving(spark, d, name):
+ARRIVALS, ARRIVAL_ROWS = 4, 1_000_000  # files that a table arrives in: four, and more if they would be larger
+
+
+def arriving(spark, d, name, order=None):
     """A table as a stream of its files.
 
-    The table may be one file, which a stream takes only as a glob.
+    The table may be one file, which a stream takes only as a glob. With ``order``
+    the table is written again as files that arrive one after the other in the
+    order of that column, each in a micro-batch of its own, so state goes from one to the next.
     """
-    schema = configure(spark).read.parquet(f"{d}/{name}.parquet").schema
-    return zoned(parquet_arrivals(spark, f"{d}/{name}.parque[t]", schema))
+    rows = configure(spark).read.parquet(f"{d}/{name}.parquet")
+    if order is None:
+        return zoned(parquet_arrivals(spark, f"{d}/{name}.parque[t]", rows.schema))
+    low, high, size = rows.agg(F.min(order), F.max(order), F.count("*")).first()
+    files = max(ARRIVALS, -(-size // ARRIVAL_ROWS))
+    folder, step = shared_path(spark, f"arrivals-{name}"), -(-((high or 0) - (low or 0) + 1) // files)
+    for n in range(files):
+        start = (low or 0) + n * step
+        part = rows.filter((F.col(order) >= start) & (F.col(order) < start + step))
+        part.coalesce(1).write.mode("append").parquet(folder)  # of bounded size
+    return zoned(parquet_arrivals(spark, folder, rows.schema, files_per_trigger=1))
 
 
 def through(spark, name, writer):
@@ -73,11 +97,11 @@ def carried(spark, name, plan, stream, **tables):
 
 @query(SLIDING_SQL)
 def stream_sliding_avg(spark, d):
-    stream = arriving(spark, d, "events")
+    stream = arriving(spark, d, "events", "event_id")
     means = windowed(
-        stream, "ts", "12 hours", ["event_type"], {"average_value": exact_avg("value")}, "6 hours", "1 day"
+        stream, "ts", "12 hours", ["event_type"], {"average_value": F.avg("value")}, "6 hours", "1 day"
     )
-    return shown(updates(spark, "sliding", means, ["window_start", "window_end", "event_type"]))
+    return shortened(shown(updates(spark, "sliding", means, ["window_start", "window_end", "event_type"])), average_value=6)
 
 
 @query(
@@ -87,7 +111,7 @@ def stream_sliding_avg(spark, d):
     "FROM (SELECT *, event_id / 25.0::DOUBLE AS t FROM events) GROUP BY floor(t / 10), event_type"
 )
 def stream_surge_pricing(spark, d):
-    rides = arriving(spark, d, "events").select(
+    rides = arriving(spark, d, "events", "event_id").select(
         F.col("event_type").alias("region"), (F.col("event_id") / F.lit(25.0)).alias("timestamp")
     )
     return shown(updates(spark, "surge", PLANS["surge_pricing"].run(rides), ["window_start", "window_end", "region"]))
@@ -98,7 +122,7 @@ def stream_surge_pricing(spark, d):
     "count(*) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS enriched_interest FROM events"
 )
 def stream_running_interest(spark, d):
-    views = arriving(spark, d, "events").select("event_id", "user_id", F.col("event_type").alias("category"))
+    views = arriving(spark, d, "events", "event_id").select("event_id", "user_id", F.col("event_type").alias("category"))
     return appended(spark, "interest", PLANS["interest_profile"].run(views, seq="event_id"))
 
 
@@ -107,7 +131,7 @@ def stream_running_interest(spark, d):
 )
 def stream_tag_totals(spark, d):
     """State carried between micro-batches, the few hot tags cut into blocks."""
-    posts = arriving(spark, d, "events").select("event_id", F.col("event_type").alias("tag"))
+    posts = arriving(spark, d, "events", "event_id").select("event_id", F.col("event_type").alias("tag"))
     return carried(spark, "tags", "tag_totals", posts)
 
 
@@ -116,14 +140,14 @@ def stream_tag_totals(spark, d):
     "(PARTITION BY user_id ORDER BY event_id) <> event_type, false) AS fraud_alert FROM events"
 )
 def stream_location_change(spark, d):
-    cards = arriving(spark, d, "events").select(
+    cards = arriving(spark, d, "events", "event_id").select(
         "event_id", F.col("user_id").alias("card_id"), F.col("event_type").alias("country")
     )
     return appended(spark, "cards", PLANS["card_alerts"].run(cards, seq="event_id"))
 
 
 def login_stream(spark, d):
-    return arriving(spark, d, "events").select(
+    return arriving(spark, d, "events", "event_id").select(
         "event_id",
         F.col("user_id").alias("src_ip"),
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("status"),
@@ -143,7 +167,7 @@ def stream_blacklist_carried(spark, d):
 
 @query(f"SELECT user_id, {FOLD_SQL} FROM events GROUP BY user_id")
 def stream_pairwise_fold(spark, d):
-    rows = arriving(spark, d, "events").select("event_id", "user_id", "value")
+    rows = arriving(spark, d, "events", "event_id").select("event_id", "user_id", "value")
     steps = appended(spark, "fold", halving_fold_stream(rows, ["user_id"], "event_id", "value", "folded"))
     last = steps.groupBy("user_id").agg(F.max_by("folded", "event_id").alias("folded"))
     return millionths(last)
@@ -170,7 +194,7 @@ def stream_aviation_archive(spark, d):
 
 @query(f"SELECT * FROM {SCORES}")
 def stream_leaderboard(spark, d):
-    scores = arriving(spark, d, "events").select(
+    scores = arriving(spark, d, "events", "event_id").select(
         F.col("user_id").cast("string").alias("player_id"), F.get_json_object("props", "$.k").cast("int").alias("score")
     )
     plan = PLANS["leaderboard"]
@@ -179,7 +203,7 @@ def stream_leaderboard(spark, d):
 
 @query("SELECT user_id, count(*) AS count FROM events GROUP BY user_id")
 def stream_running_totals(spark, d):
-    counts = group_agg(arriving(spark, d, "events"), "user_id", count=F.count("*"))
+    counts = group_agg(arriving(spark, d, "events", "event_id"), "user_id", count=F.count("*"))
     return updates(spark, "totals", counts, ["user_id"])
 
 
@@ -236,23 +260,34 @@ def sql_over_documents(spark, d):
     return PLANS["log_levels"].run(documents(spark, root, "server_logs", logs.schema, view="logs"))
 
 
-@query(RANK_SQL)
-def stream_rank_asof(spark, d):
-    """Ranks on micro-batches, with the totals before each carried along."""
-    rows = arriving(spark, d, "events").select(
+def player_stream(spark, d):
+    return arriving(spark, d, "events", "event_id").select(
         "event_id",
         F.col("user_id").cast("string").alias("player"),
         F.get_json_object("props", "$.k").cast("int").alias("points"),
     )
-    plan = PLANS["player_ranks"]
-    out = through(spark, "ranks", lambda path, check: plan.write(rows, path, check, seq="event_id"))
-    return spark.read.parquet(out).drop("batch_id")
+
+
+@query(RANK_SQL)
+def stream_rank_asof(spark, d):
+    """Ranks from counts in keyed state: a micro-batch reads and changes only the bands it falls in."""
+    write = lambda path, check: PLANS["player_ranks"].write(
+        player_stream(spark, d), path, check, keyed_state=True, seq="event_id"
+    )
+    return spark.read.parquet(through(spark, "ranks", write)).drop("batch_id")
+
+
+@query(RANK_SQL)
+def stream_rank_carried(spark, d):
+    """Ranks on micro-batches, with the totals before each carried along."""
+    write = lambda path, check: PLANS["player_ranks"].write(player_stream(spark, d), path, check, seq="event_id")
+    return spark.read.parquet(through(spark, "ranks", write)).drop("batch_id")
 
 
 @query("SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word")
 def stream_word_count(spark, d):
     plan = PLANS["word_counts"]
-    texts = arriving(spark, d, "documents").select("text")
+    texts = arriving(spark, d, "documents", "doc_id").select("text")
     return spark.read.parquet(through(spark, "words", lambda path, check: plan.write(texts, path, check)))
 
 
@@ -262,7 +297,75 @@ def stream_word_count(spark, d):
 )
 def stream_windowed_fold(spark, d):
     """Folds of the windows the watermark has closed: all but the newest."""
-    rows = arriving(spark, d, "events").select(
+    rows = arriving(spark, d, "events", "event_id").select(
         F.col("event_id").alias("seq"), F.col("event_type").alias("sensor"), F.col("value").alias("temp"), "ts"
     )
     return millionths(shown(appended(spark, "folds", PLANS["sensor_folds"].run(rows, size="6 hours"))))
+
+
+@query(WORDS_SQL)
+def stream_running_word_count(spark, d):
+    """Every word with its count so far, the counts held in keyed state."""
+    texts = arriving(spark, d, "documents", "doc_id").select(F.col("doc_id").alias("offset"), "text")
+    return appended(spark, "running-words", PLANS["running_word_counts"].run(texts))
+
+
+@query(BLOCKED_SQL)
+def stream_seeded_latch(spark, d):
+    """The blocklist is the first state of the stream, and is joined with no micro-batch."""
+    rows = login_stream(spark, d).withColumn("failing", F.col("status") == "fail")
+    return appended(spark, "latch", processors.latched(rows, "src_ip", "event_id", "failing", "blocked", 5, blacklist(spark, d)))
+
+
+@query(CLAIMED_SQL)
+def stream_plan_deviation(spark, d):
+    """Plans that are set by the first record to offer one, unless they were there before."""
+    trucks = offered_zones(arriving(spark, d, "events", "event_id"))
+    plan = PLANS["claimed_zones"]
+    return appended(spark, "zones", plan.run(trucks, seq="event_id", planned=planned_zones(spark, d)))
+
+
+@query(f"SELECT user_id, {CLAMP_SQL} FROM {EV} GROUP BY user_id")
+def stream_fold_clamped(spark, d):
+    """A level held between two bounds, its partial carried from micro-batch to micro-batch."""
+    rows = levels(arriving(spark, d, "events", "event_id"))
+    fold = clamped(*BOUNDS)
+    write = lambda path, check: runs.to_batches(
+        rows,
+        ordered_fold_batches(
+            "user_id", "event_id", "change", "level", fold, f"{check}-carried", lambda b, n: append_batch(b, path, n), span=300, hot_rows=60
+        ),
+        check,
+    )
+    return latest_rows(spark.read.parquet(through(spark, "levels", write)), ["user_id"])
+
+
+@query(
+    f"SELECT event_type, {SIX_END} AS window_end, CAST(sum(k) AS BIGINT) AS total FROM {EV} "
+    f"WHERE floor(epoch(ts) / {SIX}) < (SELECT floor(epoch(max(ts)) / {SIX}) FROM events) GROUP BY 1, 2"
+)
+def stream_window_totals(spark, d):
+    """Totals that timers give out once the watermark has closed their window."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = arriving(spark, d, "events", "event_id").select("event_type", "ts", k.alias("k"))
+    sums = processors.windowed_totals(rows, "event_type", "ts", 6 * 3600 * 1000, "k", "total", "0 seconds")
+    made = appended(spark, "window-totals", sums)
+    return made.select("event_type", second("window_end"), F.col("total").cast("long").alias("total"))
+
+
+def change_stream(spark, d):
+    """The log of changes as it arrives out of order: by hash, the second half of it twice."""
+    folder = shared_path(spark, "change-log")
+    log = order_changes(spark, d).select("offset", F.col("value").cast("string").alias("value"))
+    turn = F.pmod(F.xxhash64("offset"), F.lit(ARRIVALS))
+    for n in (2, 0, 3, 1, 3):  # late and doubled
+        log.filter(turn == n).coalesce(1).write.mode("append").parquet(folder)
+    return parquet_arrivals(spark, folder, log.schema, files_per_trigger=1)
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")
+def stream_cdc_current(spark, d):
+    """States folded in keyed state; the micro-batches' deltas are merged with tombstones."""
+    changes = decode_changes(change_stream(spark, d), CHANGED)
+    deltas = appended(spark, "cdc", processors.newest_changes(changes, "id", ["ts", "offset"]))
+    return living(merged_changes(deltas.limit(0), deltas))
