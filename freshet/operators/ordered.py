@@ -247,6 +247,8 @@ def folded_parts(
         return parts
     path = shared_path(df.sparkSession, "folds")
     parts.select(*(F.col(f"{KEY}.{k}") for k in keys), F.col(BLOCK).alias("_after"), part).write.parquet(path)
+    # A few partials are always folded at once, so every round leaves fewer.
+    span, hot_rows = max(span, 8), max(hot_rows, 64)
     return folded_parts(df.sparkSession.read.parquet(path), keys, ["_after"], part, fold, span, hot_rows)
 
 
