@@ -21,7 +21,7 @@ from freshet.llm.graph import written
 
 SAMPLES = 32
 TOGETHER = 8  # samples that one row computes
-BLOCK_DOCS = 4000  # documents in one block of neighbours
+BLOCK_DOCS = 500  # documents in one block of neighbours
 LN_2 = math.log(2)
 SPREAD = 2654435761  # an odd factor; levels stay below 2 ** 25
 MOST_BLOCKS = 1 << 16  # beyond these blocks grow
@@ -87,7 +87,7 @@ def likeness(left: str, right: str, samples: int = SAMPLES) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Documents (``id``, ``text``, ``h``) with id, hash and text of the next one by
+    """Documents (``block``, ``id``, ``text``, ``h``) with id, hash and text of the next one by
     falling id and hash; after the last comes the first. Rows that repeat are one.
 
     Documents are dealt to blocks of the id's range, the text moves once, and
@@ -115,6 +115,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     joined = led.join(texts, led["block"] == texts["edge_block"], "left")
     last = F.col("next_h").isNull()
     return joined.select(
+        "block",
         "id",
         "h",
         "text",
@@ -162,15 +163,22 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     kinds = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"))
     kinds = kinds.withColumn("body", F.when(F.col("kind") == 0, F.col("text")).otherwise(F.col("edited"))).drop("text", "edited")
     numbers = ["n_chars", "next_id", "next_h", *words]
-    marked = fingerprints(weighted_terms(kinds, "body", "terms"), ["id", "h", "kind"], "terms", {n: F.when(F.col("kind") == 0, F.col(n)) for n in numbers}, samples)
-    joined = marked.groupBy("id", "h").agg(
+    keep = {n: F.when(F.col("kind") == 0, F.col(n)) for n in numbers}
+    # Rows lie by block since their neighbours were found, so nothing below moves them again.
+    marked = fingerprints(weighted_terms(kinds, "body", "terms"), ["block", "id", "h", "kind"], "terms", keep, samples)
+    joined = marked.groupBy("block", "id", "h").agg(
         *(F.max(n).alias(n) for n in numbers),
         F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
     )
-    both = written(joined, "fingerprints")  # read twice below
-    following = both.select(F.col("id").alias("f_id"), F.col("h").alias("f_h"), F.col("fingerprint").alias("next_fingerprint"))
-    met = both.join(following, F.col("next_id").eqNullSafe(F.col("f_id")) & (F.col("next_h") == F.col("f_h")))
+    falling = Window.partitionBy("block").orderBy(F.desc_nulls_last("id"), F.desc("h"))
+    both = written(joined.withColumn("next_fingerprint", F.lead("fingerprint").over(falling)), "fingerprints")
+    # The last document of a block is followed by the first of the next: one row per block, at most MOST_BLOCKS and one.
+    lasts = both.filter("next_fingerprint IS NULL").select(F.col("block").alias("l_block"), F.col("next_id").alias("l_id"), F.col("next_h").alias("l_h"))
+    firsts = both.join(F.broadcast(lasts), F.col("id").eqNullSafe(F.col("l_id")) & (F.col("h") == F.col("l_h")))
+    edges = firsts.select("l_block", F.col("fingerprint").alias("edge_fingerprint"))
+    met = both.join(F.broadcast(edges), both["block"] == edges["l_block"], "left")
+    met = met.withColumn("next_fingerprint", F.coalesce("next_fingerprint", "edge_fingerprint"))
     hexed = F.concat(*(F.lower(F.lpad(F.hex(n), 16, "0")) for n in words))
     return met.select(
         F.col("id").alias(doc_id),

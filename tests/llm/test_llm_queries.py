@@ -190,7 +190,16 @@ def test_archives(spark, size, tmp_path):
     assert warc.read_archives(spark, str(tmp_path / "none")).isEmpty()
 
 
-def test_fingerprints(spark, docs, empty):
+def alike(a, b):
+    """The share of samples that agree, as the definition says."""
+    if not a or not b:
+        return float(a == b)
+    return sum(a[i : i + 8] == b[i : i + 8] for i in range(0, len(a), 8)) / (len(a) // 8)
+
+
+@pytest.mark.parametrize("size", [500, 2])
+def test_fingerprints(spark, docs, empty, monkeypatch, size):
+    monkeypatch.setattr(cws, "BLOCK_DOCS", size)
     rows = {r["doc_id"]: r for r in cws.fingerprint_edits(docs).collect()}
     assert len(rows) == 8  # the repeated row is one document
     order = [8, 7, 5, 4, 3, 2, 1, None]
@@ -200,7 +209,8 @@ def test_fingerprints(spark, docs, empty):
         half = len(a) // 2
         edit = a[: len(a) - half] + b[:half]
         assert rows[i]["edited_sha256"] == hashlib.sha256(edit.encode()).hexdigest() and rows[i]["n_chars"] == len(a)
-        assert rows[i]["near_next"] == (1.0 if rows[i]["fingerprint"] == rows[j]["fingerprint"] else rows[i]["near_next"])
+        assert rows[i]["near_next"] == alike(rows[i]["fingerprint"], rows[j]["fingerprint"])
+        assert rows[i]["near_edited"] == alike(rows[i]["fingerprint"], rows[i]["edited_fingerprint"])
     assert rows[1]["fingerprint"] == rows[5]["fingerprint"] and rows[2]["fingerprint"] == "" and len(rows[7]["fingerprint"]) == 8 * cws.SAMPLES
     assert cws.fingerprint_edits(empty).isEmpty()
 
@@ -301,3 +311,22 @@ def test_stages_keep_the_columns_of_documents(spark, docs):
         out = stage(spark, extra, FOLDER)
         assert out.columns == extra.columns, name
         assert out.count() <= extra.count()
+
+
+def test_near_copies_keep_unique_texts_and_one_of_each(spark):
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    schema = "doc_id long, text string, row_key string, h string"
+    cases = [
+        ([(1, a), (5, a), (5, b)], [(1, a), (5, b)]),
+        ([(1, a), (1, a)], [(1, a)]),
+        ([(1, a), (None, a), (None, b), (None, b)], [(1, a), (None, b)]),
+        ([(4, a + " x"), (2, c), (3, a), (9, None), (9, None), (8, "")], [(2, c), (3, a), (8, ""), (9, None)]),
+        ([(7, a), (7, b), (7, c), (6, b)], [(6, b), (7, a), (7, c)]),
+        ([], []),
+    ]
+    for rows, want in cases:
+        docs = spark.createDataFrame([(*r, "x", None) for r in rows], schema).repartition(2)
+        got = stage(spark, docs, FOLDER)
+        assert got.columns == docs.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
