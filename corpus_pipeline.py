@@ -15,6 +15,7 @@ from freshet.llm import blobs, neardup, packing, quality
 from freshet.llm.chunks import unused
 from freshet.llm.graph import written
 from freshet.llm.queries import table
+from freshet.operators.ranking import positions
 
 LEAST_SCORE = 0.3
 ORACLE_SQL = None  # a fitted classifier and a tokenizer are not SQL; the tests hold a plain version against run()
@@ -27,12 +28,48 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.score(docs, space, score).filter(F.col(score) >= LEAST_SCORE).drop(score)
 
 
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    """Gives each distinct pair of id and text a whole number of its own: the id itself, but for
+    null ids and for all texts but one of an id, which get numbers above all ids.
+
+    Only narrow rows of id and hash are grouped; the documents are joined with
+    the numbers only if there are any. Ids are below 2 ** 62.
+    """
+    h, at = (unused([*docs.columns, key], n) for n in ("h", "at"))
+    hashed = docs.withColumn(h, F.xxhash64("text"))
+    pairs = hashed.groupBy("doc_id", h).agg(F.count("*").alias("_rows"))
+    first = pairs.groupBy("doc_id").agg(F.min(h).alias("_h"), F.count("*").alias("_texts"))
+    several = first.filter("doc_id IS NULL OR _texts > 1").select(F.col("doc_id").alias("_id"), "_h")
+    same = pairs["doc_id"].eqNullSafe(several["_id"])
+    others = written(pairs.join(several, same).filter((F.col(h) != F.col("_h")) | F.col("doc_id").isNull()).select("doc_id", h), "other-texts")
+    if others.isEmpty():
+        return hashed.withColumn(key, F.col("doc_id")).drop(h)
+    most = pairs.agg(F.max("doc_id")).first()[0] or 0
+    numbers = positions(others, [F.col("doc_id"), F.col(h)], at).select(F.col("doc_id").alias("_id"), F.col(h).alias("_h"), at)
+    joined = hashed.join(numbers, hashed["doc_id"].eqNullSafe(numbers["_id"]) & (hashed[h] == numbers["_h"]), "left")
+    return joined.withColumn(key, F.coalesce(F.col(at) + F.lit(most + 1), "doc_id")).drop(h, at, "_id", "_h")
+
+
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group, on runs of five words.
-    Documents without words, and rows without an id, are in no group and stay."""
-    groups = neardup.linked(docs, percent=80, width=5)
-    copies = groups.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near copies on runs of five words: that of the least id.
+
+    Two texts of one id are two documents, of which the one with the lesser hash stands for the
+    id; rows without an id are documents too and give way to those with one. Of rows
+    that repeat id and text one stays. Documents without words are in no group: each id keeps one
+    row for each such text.
+    """
+    key = unused(docs.columns, "row_key")
+    rows = keyed(docs, key)
+    groups = neardup.linked(rows, percent=80, width=5, doc_id=key)
+    copies = groups.filter("NOT kept").select(key).distinct()
+    left = rows.join(copies.hint("merge"), key, "left_anti")
+    again = groups.filter("kept").groupBy(key).count().filter("count > 1").select(key)
+    again = written(again, "repeated-rows")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    one = left.join(again, key, "left_semi").groupBy(key).agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    alone = left.join(again, key, "left_anti").select(*docs.columns)
+    return alone.unionByName(one.select("_row.*"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
