@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from freshet.functions.rules import label
 from freshet.functions.scalars import as_column
 
+KNOWN_WORDS = 200_000  # scored words that may be sent to all tasks
 
 
 def contains_any(lowered: Column, words: Sequence[str]) -> Column:
@@ -51,15 +52,19 @@ def lexicon_label(
     """Mean lexicon score per text, then POSITIVE, NEGATIVE or NEUTRAL.
 
     ``lexicon`` has columns word and score, one row per word in either case.
-    Each word counts once per text before it is joined, so a frequent word gives
-    one row per text. Texts without a scored word are neutral.
+    A list of at most ``KNOWN_WORDS`` is counted and sent to all tasks, so no word is
+    shuffled, and the scores of a text are added up in its task; a longer list
+    is joined. Means are rounded to
+    twelve decimals, so that the order of adding decides no label. Texts without a
+    scored word are neutral.
     """
-    words = df.select(key, F.explode_outer(F.split(F.lower(text), " ", -1)).alias("word"))
-    scores = lexicon.select(F.lower("word").alias("word"), "score")
-    scored = words.groupBy(key, "word").agg(F.count("*").alias("times")).join(scores, "word", "left")
-    known = F.when(F.col("score").isNotNull(), F.col("times"))
-    mean = F.try_divide(F.sum(F.col("score") * F.col("times")), F.sum(known))
-    means = scored.groupBy(key).agg(mean.alias("polarity"))
+    words = df.select(key, F.explode(F.split(F.lower(text), " ", -1)).alias("word"))
+    scores = lexicon.select(F.lower("word").alias("word"), F.col("score").cast("double").alias("score"))
+    if lexicon.limit(KNOWN_WORDS + 1).count() <= KNOWN_WORDS:
+        scores = F.broadcast(scores)
+    found = words.join(scores, "word").select(key, "score")
+    every = df.select(key, F.lit(None).cast("double").alias("score"))
+    means = every.union(found).groupBy(key).agg(F.round(F.avg("score"), 12).alias("polarity"))
     return means.withColumn(out, polarity_label("polarity", high, low))
 
 

@@ -145,6 +145,15 @@ def test_both_forms_of_lexicon_scoring_agree(spark):
     assert {i: r["polarity"] for i, r in joined.items()} == pytest.approx(direct)
 
 
+def test_a_long_word_list_gives_the_same_labels(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "Good good bad"), (2, "so bad"), (3, "none"), (4, None)], "id int, text string")
+    words = spark.createDataFrame([("good", 1.0), ("BAD", -0.5)], "word string, score double")
+    sent = values(lexicon_label(df, "id", "text", words))
+    monkeypatch.setattr("freshet.functions.text.KNOWN_WORDS", 1)
+    assert values(lexicon_label(df, "id", "text", words)) == sent
+    assert sent == [(1, 0.5, "POSITIVE"), (2, -0.5, "NEGATIVE"), (3, None, "NEUTRAL"), (4, None, "NEUTRAL")]
+
+
 def test_tokens_keep_empty_ones_and_positions(spark):
     df = spark.createDataFrame([("a  b ",)], "text string")
     assert values(tokens(df, "text", position="at").drop("text")) == [(0, "a"), (1, ""), (2, "b"), (3, "")]
