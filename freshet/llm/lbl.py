@@ -5,8 +5,10 @@ before; a token's energy is its product with the token's own vector, plus a
 bias. The vocabulary is the end of a text, the most frequent words, and classes
 of all other words by their last letters; a word of a class then has its share
 of the class's counts. Counts are taken over all training texts. The model is
-trained in numpy with noise-contrastive estimation, by every task on its own
-texts, and the tasks' parameters are averaged after each round.
+trained in numpy with noise-contrastive estimation. It starts as the unigram,
+whose logarithms stay its biases, and learns what the two tokens before add. Each task
+trains a model on every ``SHARD`` tokens of its texts, whatever it holds, and
+all of these are averaged after each round.
 
 As the expectation is linear, the energies of a context are the sum of one row
 for each of its two tokens. The normalisers of all contexts are then one matrix
@@ -35,7 +37,10 @@ CLASSES = 256
 FREQUENT = 1791  # words with a vector of their own
 LISTED = 200_000  # words whose counts are sent to all tasks
 DIMENSIONS = 32
-BATCH, NOISE, RATE = 2048, 32, 0.15
+BATCH, NOISE, RATE = 2048, 32, 0.05
+NOISE_BLOCK = 256  # targets that share their noise words
+SHARD = 200_000  # tokens that one model is trained on before it is averaged
+FAN = 32  # models that a task adds up
 ROUNDS = 2
 CODED_WORDS = 400_000  # words that a worker remembers
 COUNTED_WORDS = 300_000  # words that a task counts before it hands them on
@@ -195,34 +200,43 @@ class Trainer:
         self.draw = np.random.default_rng(seed)
         self.reach = np.cumsum(unigram)
         self.noise = np.log(NOISE * unigram).astype(np.float32)  # expected log count among the noise
-        self.squares = [np.full_like(p, 1e-6) for p in self.model.parts()]
+        self.squares = [np.full_like(p, 1e-6) for p in self.model.parts()[:-1]]
         self.seen = 0
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
         m, size = self.model, len(self.reach)
-        other = np.minimum(np.searchsorted(self.reach, self.draw.random(NOISE)), size - 1)
+        blocks = np.array_split(np.arange(len(word)), max(1, round(len(word) / NOISE_BLOCK)))
+        drawn = np.searchsorted(self.reach, self.draw.random((len(blocks), NOISE)))
+        noise = np.minimum(drawn, size - 1)
         r1, r2 = m.context[near], m.context[far]
         expected = r1 @ m.near + r2 @ m.far
         true = m.target[word]
         pull = 1 - sigmoid(np.einsum("ij,ij->i", expected, true) + m.bias[word] - self.noise[word])
-        push = -sigmoid(expected @ m.target[other].T + m.bias[other] - self.noise[other])
-        back = pull[:, None] * true + push @ m.target[other]
+        back = pull[:, None] * true
+        moved = [pull[:, None] * expected]
+        for rows, other in zip(blocks, noise, strict=True):
+            rows = slice(rows[0], rows[-1] + 1)
+            vectors = m.target[other]
+            push = sigmoid(expected[rows] @ vectors.T + (m.bias[other] - self.noise[other]))
+            back[rows] -= push @ vectors
+            moved.append(-(push.T @ expected[rows]))
         grads = [
             summed(np.r_[near, far], np.concatenate([back @ m.near.T, back @ m.far.T]), size),
-            summed(np.r_[word, other], np.concatenate([pull[:, None] * expected, push.T @ expected]), size),
+            summed(np.r_[word, noise.ravel()], np.concatenate(moved), size),
             r1.T @ back,
             r2.T @ back,
-            np.bincount(np.r_[word, other], np.r_[pull, push.sum(0)], size).astype(np.float32),
         ]
-        for part, grad, square in zip(m.parts(), grads, self.squares, strict=True):
+        for part, grad, square in zip(m.parts(), grads, self.squares, strict=False):  # the biases stay
             grad /= len(word)
             square += grad * grad
-            part += RATE * grad / np.sqrt(square)
+            grad *= RATE
+            grad /= np.sqrt(square)
+            part += grad
         self.seen += len(word)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 def summed(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
@@ -248,9 +262,11 @@ def stream(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """The model of all texts. Round r takes those with ``part`` r; a task starts
+    """The model of all texts. Round r takes those with ``part`` r; every shard starts
     from the average of the round before, and averages weigh by tokens. Sums of
-    parameters go through two levels of tasks, so none gathers one from every task."""
+    parameters go through as many levels of tasks as let each add up ``FAN`` of
+    them. Tasks of less than a shard train on what they have, so the model depends
+    on the partitioning only where tasks are that small."""
     context = texts.sparkSession.sparkContext
     unigram = vocab.unigram()
     model = first_model(unigram)
@@ -260,6 +276,7 @@ def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             start, vocab, unigram = shared.value
             coder, ids, trainer = Coder(vocab), vocab.ids(), Trainer(start, unigram, SEED + number)
+            tokens, sums, shard = 0, np.zeros(len(start.flat())), 0
             for batch in batches:
                 codes = (model_ids(coder.encode(words_of(t.as_py())), ids) for t in batch.column(0))
                 for part in sliced(codes, lambda c: len(c) + 1, 4 * BATCH):
@@ -267,12 +284,18 @@ def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
                     at = trainer.draw.permutation(np.flatnonzero(target))
                     for piece in np.array_split(at, max(1, round(len(at) / BATCH))):
                         trainer.step(whole[piece - 2], whole[piece - 1], whole[piece])
-            if trainer.seen:
-                yield weighted(trainer.seen, trainer.model.flat() * trainer.seen)
+                        if trainer.seen >= SHARD:
+                            tokens, sums, shard = tokens + trainer.seen, sums + trainer.model.flat() * trainer.seen, shard + 1
+                            trainer = Trainer(start, unigram, SEED + number + shard * ROUNDS)
+            if tokens + trainer.seen:
+                yield weighted(tokens + trainer.seen, sums + trainer.model.flat() * trainer.seen)
 
         parts = texts.filter(F.col("part") == number).select("text").mapInArrow(run, "tokens long, sums binary")
-        few = max(1, round(parts.rdd.getNumPartitions() ** 0.5))
-        total = parts.repartition(few).mapInArrow(added, parts.schema).repartition(1).mapInArrow(added, parts.schema).first()
+        tasks, level = parts.rdd.getNumPartitions(), parts
+        while tasks > 1:
+            tasks = -(-tasks // FAN)
+            level = level.repartition(tasks).mapInArrow(added, parts.schema)
+        total = level.first()
         if total is not None:
             model = Model.of(np.frombuffer(total["sums"]) / total["tokens"], vocab.size)
     return model
@@ -413,7 +436,8 @@ def score_corpus(docs: DataFrame, training: DataFrame, text: str = "text", round
     Adds ``n_tokens``, ``n_known`` (tokens met in training), ``train_tokens``,
     ``base_score`` (smoothed unigram) and ``score``, both as the log10 of the
     text's probability; columns of these names are replaced. A null or empty
-    text is one end. Repeated rows count and are scored each on their own. An
+    text is one end. Repeated rows count and are scored each on their own. How the
+    training table is partitioned changes a score little (see ``train``). An
     empty training table leaves the smoothing alone; an empty ``docs`` no rows.
     Words are told apart by 64-bit hashes, and a list of ``LISTED`` words, 256
     classes and one matrix of parameters are all that comes to the driver.

@@ -137,6 +137,50 @@ def test_language_model_against_counts(spark, docs, empty):
     assert lbl.score_corpus(empty, docs).isEmpty() and lbl.score_corpus(docs, empty).filter("n_known > 0").isEmpty()
 
 
+def plain_score(text, model, vocab) -> float:
+    """The log10 probability of a text, token by token, from the model's parameters."""
+    listed = {int(k): i for i, k in enumerate(vocab.keys)}
+    total, far, near = 0.0, lbl.END, lbl.END
+    for word in [*lbl.words_of(text), None]:
+        place = 0 if word is None else listed.get(lbl.key(word))
+        own = place is not None and place <= lbl.FREQUENT
+        token = place if own else 1 + lbl.FREQUENT + lbl.class_of(word)
+        energy = (model.context[near] @ model.near + model.context[far] @ model.far) @ model.target.T + model.bias
+        total += energy[token] - np.logaddexp.reduce(energy)
+        if not own:  # its share of the class
+            count = 0 if place is None else vocab.counts[place]
+            total += np.log((count + 0.5) / vocab.mass[lbl.class_of(word)])
+        far, near = near, token
+    return total / np.log(10)
+
+
+def test_language_model_score_equals_a_plain_loop(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = docs.filter("doc_id % 3 > 0").select("text", F.pmod("doc_id", F.lit(2)).cast("int").alias("part"))
+    counts = graph.written(lbl.count_words(texts), "counts")
+    vocab = lbl.vocabulary(counts)
+    model = lbl.train(texts, vocab)
+    assert len(vocab.keys) > 2 * lbl.FREQUENT  # classes have words
+    assert np.allclose(model.bias, np.log(vocab.unigram()), atol=1e-5)
+    got = {r["doc_id"]: r["score"] for r in lbl.score(docs.filter("doc_id % 7 = 0"), counts, vocab, model).collect()}
+    plain = {r["doc_id"]: plain_score(r["text"], model, vocab) for r in docs.filter("doc_id % 7 = 0").collect()}
+    assert len(got) > 20 and got == pytest.approx(plain, rel=1e-4)
+
+
+def test_language_model_beats_the_unigram_on_unseen_texts(spark):
+    """On the given documents, however the training texts are partitioned."""
+    docs = queries.table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    means = []
+    for partitions in (1, 8):
+        scored = lbl.score_corpus(docs.filter(held_out), docs.filter(~held_out).repartition(partitions))
+        row = scored.agg(*(F.sum(c).alias(c) for c in ("n_tokens", "base_score", "score"))).first()
+        better = scored.filter("score > base_score").count() / scored.count()
+        means.append(row["score"] / row["n_tokens"])
+        assert means[-1] > row["base_score"] / row["n_tokens"] + 0.05 and better > 0.6, (means, row, better)
+    assert abs(means[0] - means[1]) < 0.01, means
+
+
 def test_language_model_learns_order(spark, monkeypatch):
     monkeypatch.setattr(lbl, "LISTED", 3)  # the other words go through the join
     texts = spark.createDataFrame([(i, "the cat sat on a mat " * 600) for i in range(60)], "doc_id long, text string").repartition(2)
