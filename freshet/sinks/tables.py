@@ -6,9 +6,9 @@ replaces the rows of the same batch or adds only those that are not there yet.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,13 +60,39 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("overwrite").saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """A catalog table whose rows lie in buckets by key, one sorted file each.
+
+    Tables of the same keys and number of buckets join, and group by the keys,
+    without a shuffle. One task writes and one reads a bucket, so this is for keys none of which is
+    hot; a join by a hot key does better unbucketed, where it is split at run time.
+    """
+    first, *more = keys
+    writer = df.repartition(buckets, *keys).write.format("parquet").mode("overwrite")
+    writer = writer.bucketBy(buckets, first, *more).sortBy(first, *more)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def counted(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict:
+    """Writes rows and counts them on the way: ``rows`` and the aggregates given, without a second read.
+
+    ``write`` must run one job over all rows, as a sink does.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(m.alias(name) for name, m in metrics.items())))
+    return seen.get
+
+
 def replace_snapshot(df: DataFrame, path: str) -> None:
+    """Overwrites the only copy; ``versions.write_snapshot`` keeps the last until the new one is whole."""
     df.write.mode("overwrite").parquet(path)
 
 
 def not_yet_there(df: DataFrame, there: DataFrame, row_key: Sequence[str]) -> DataFrame:
-    """Rows whose key the target does not hold yet."""
-    return df.join(there.select(*row_key), list(row_key), "left_anti")
+    """Rows whose key the target does not hold yet; a null in a key is a value like any other."""
+    held = there.select(*(F.col(c).alias(f"_there_{n}") for n, c in enumerate(row_key)))
+    same = [F.col(c).eqNullSafe(F.col(f"_there_{n}")) for n, c in enumerate(row_key)]
+    return df.join(held, same, "left_anti")
 
 
 def jdbc_options(url: str, table: str, properties: Mapping[str, str] | None = None) -> dict[str, str]:

@@ -11,7 +11,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.operators.ordered import running_count
 from freshet.schemas import LOG
 
 
@@ -53,23 +52,6 @@ def folder_stream(spark: SparkSession, path: str, files_per_trigger: int | None
     return reader.parquet(path)
 
 
-def as_log(df: DataFrame, key: str, value: str, seq: str, topic: str, partitions: int, **options) -> DataFrame:
-    """Rows as log records: one partition per key, offsets in ``seq`` order.
-
-    ``key`` is an integer column; records of one key share a partition.
-    """
-    placed = df.withColumn("partition", F.pmod(F.col(key), F.lit(partitions)).cast("int"))
-    numbered = running_count(placed, "partition", seq, "_number", **options)
-    return numbered.withColumns(
-        {
-            "key": F.col(key).cast("string").cast("binary"),
-            "value": F.col(value).cast("string").cast("binary"),
-            "topic": F.lit(topic),
-            "offset": F.col("_number") - 1,
-        }
-    ).drop("_number")
-
-
 def replay(log: DataFrame, start: Mapping[int, int] | None = None) -> DataFrame:
     """A log's records from given offsets on, by partition and offset.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from freshet.sinks.tables import append_batch, replace_snapshot
+from freshet.sinks.versions import write_snapshot
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -60,6 +61,11 @@ def to_snapshot(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return to_batches(df, lambda batch, n: replace_snapshot(batch, path), checkpoint, "complete")
 
 
+def to_versions(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """The same as versions, read by ``read_snapshot``: the last one stays until the next is whole."""
+    return to_batches(df, lambda batch, n: write_snapshot(batch, path), checkpoint, "complete")
+
+
 def to_console(df: DataFrame, mode: str = "append", truncate: bool = False) -> DataStreamWriter:
     return df.writeStream.format("console").outputMode(mode).option("truncate", truncate)
 

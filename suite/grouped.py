@@ -15,6 +15,8 @@ from freshet.operators.aggregates import (
     volume_alert,
 )
 from freshet.plans.catalog import PLANS
+from freshet.session import shared_path
+from freshet.sinks.tables import save_bucketed
 from suite.base import EV, events, query, read, shortened, shortened_sql
 from suite.projections import CUSTOMERS, customers
 
@@ -546,20 +548,42 @@ def sql_segment_avg(spark, d):
     return PLANS["segment_spend"].run(customers(spark, d)).withColumn("avg_spend", F.round("avg_spend", 6))
 
 
-@query(
+JOINED_SQL = (
     "SELECT l_orderkey AS sale_id, CAST(l_quantity AS BIGINT) AS amount, o_orderstatus AS orderstatus "
     "FROM lineitem, orders WHERE l_orderkey = o_orderkey"
 )
-def sql_join(spark, d):
+
+
+def sales_and_orders(spark, d):
     sold = read(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("sale_id"), F.col("l_quantity").cast("long").alias("amount")
     )
     orders = read(spark, d, "orders").select(
         F.col("o_orderkey").alias("orderkey"), F.col("o_orderstatus").alias("orderstatus")
     )
+    return sold, orders
+
+
+@query(JOINED_SQL)
+def sql_join(spark, d):
+    sold, orders = sales_and_orders(spark, d)
     return PLANS["sales_orders"].run(sold, orders=orders)
 
 
+JOIN_BUCKETS = 32
+
+
+@query(JOINED_SQL)
+def sql_join_bucketed(spark, d):
+    """The same join of two catalog tables that lie in buckets by order: no shuffle."""
+    kept = {}
+    for name, rows, key in zip(("sales", "orders"), sales_and_orders(spark, d), ("sale_id", "orderkey")):
+        path = shared_path(spark, f"bucketed_{name}")
+        kept[name] = f"bucketed_{name}_{path[-32:]}"
+        save_bucketed(rows, kept[name], [key], JOIN_BUCKETS, path)
+    return PLANS["sales_orders"].run(spark.table(kept["sales"]), orders=spark.table(kept["orders"]))
+
+
 @query(
     "SELECT event_id AS sale_id, CAST(floor(value) AS BIGINT) AS amount, o_orderstatus AS orderstatus "
     "FROM events, orders WHERE event_id = o_orderkey ORDER BY event_id LIMIT 5"

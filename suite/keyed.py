@@ -11,7 +11,7 @@ from freshet.operators.ordered import affine, changed, clamped, halving_fold, la
 from freshet.operators.ranking import rank_asof
 from freshet.operators.windows import windowed
 from freshet.plans.catalog import PLANS
-from freshet.sources.log import as_log, replay
+from freshet.sources.log import replay
 from suite.base import EV, clock, events, query, read, second, shortened, shortened_sql
 
 # Suppliers are the lookup table of the users: they cover some of them.
@@ -466,6 +466,23 @@ def windowed_fold(spark, d):
     return millionths(shown(folded))
 
 
+def as_log(df: DataFrame, key: str, value: str, seq: str, topic: str, partitions: int, **options) -> DataFrame:
+    """The records that a topic would hold for these rows: one partition per key, offsets in ``seq`` order.
+
+    ``key`` is an integer column; records of one key share a partition.
+    """
+    placed = df.withColumn("partition", F.pmod(F.col(key), F.lit(partitions)).cast("int"))
+    numbered = running_count(placed, "partition", seq, "_number", **options)
+    return numbered.withColumns(
+        {
+            "key": F.col(key).cast("string").cast("binary"),
+            "value": F.col(value).cast("string").cast("binary"),
+            "topic": F.lit(topic),
+            "offset": F.col("_number") - 1,
+        }
+    ).drop("_number")
+
+
 @query(
     "SELECT CAST(user_id % 3 AS INTEGER) AS partition, row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 "
     "AS \"offset\", CAST(user_id AS VARCHAR) AS key, props AS value FROM events ORDER BY 1, 2"

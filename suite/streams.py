@@ -15,11 +15,13 @@ from freshet.operators.windows import windowed
 from freshet.plans.catalog import PLANS
 from freshet.session import configure, shared_path
 from freshet.sinks.documents import append_documents, write_documents
-from freshet.sinks.tables import append_batch, latest_rows
+from freshet.sinks.tables import append_batch, counted, latest_rows
+from freshet.sinks.versions import compact, expire, read_compacted, read_snapshot
 from freshet.sources.files import documents, parquet_arrivals, zoned
 from freshet.streaming import runs
 from freshet.streaming import processors
 from freshet.streaming.carried import ordered_fold_batches
+from freshet.streaming.late import split_late
 from freshet.streaming.state import halving_fold_stream
 from suite.base import EV, clock, events, query, read, second, shortened
 from suite.grouped import CALLS, SCORES
@@ -252,6 +254,77 @@ def sink_count(spark, d):
     return back.groupBy("event_type").agg(F.count("*").alias("rows"), F.sum("parsed_data.k").alias("total"))
 
 
+@query(f"SELECT count(*) AS rows, count(*) FILTER (k > 50) AS large, CAST(sum(k) AS BIGINT) AS total FROM {EV}")
+def sink_count_on_the_way(spark, d):
+    """Rows written and counted in one pass, nothing read back."""
+    root = shared_path(spark, "index")
+    seen = counted(
+        events(spark, d).select("event_id", "k"),
+        lambda rows: write_documents(rows, root, "events"),
+        large=F.count_if(F.col("k") > 50),
+        total=F.sum("k"),
+    )
+    return spark.createDataFrame([(seen["rows"], seen["large"], seen["total"])], "rows long, large long, total long")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_archive_compacted(spark, d):
+    """An archive whose micro-batches are compacted as they settle, what is no longer needed deleted."""
+    folder = shared_path(spark, "compacted")
+    rows = arriving(spark, d, "events", "event_id").select("event_id", "user_id", "event_type", "value")
+
+    def each(batch, n):
+        append_batch(batch, f"{folder}/archive", n)
+        compact(spark, f"{folder}/archive", f"{folder}/table", n - 1, ["user_id"], fan=2, file_rows=ARRIVAL_ROWS)
+        expire(spark, f"{folder}/archive", f"{folder}/table")
+
+    runs.finish(runs.start(runs.to_batches(rows, each, f"{folder}/checkpoint")))
+    return read_compacted(spark, f"{folder}/archive", f"{folder}/table").drop("batch_id")
+
+
+@query("SELECT event_type, count(*) AS rows, CAST(sum(k) AS BIGINT) AS total FROM " + EV + " GROUP BY 1")
+def stream_snapshot_versions(spark, d):
+    """Whole results, a version per micro-batch, of which readers see the newest."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    rows = arriving(spark, d, "events", "event_id")
+    totals = group_agg(rows, "event_type", rows=F.count("*"), total=F.sum(k))
+    return read_snapshot(spark, through(spark, "versions", lambda path, check: runs.to_versions(totals, path, check)))
+
+
+# One row in eleven arrives a file late.
+LATE_FILE = "least({files} - 1, event_id * {files} div {size} + if(event_id % 11 = 0, 1, 0))"
+LATE_SQL = (
+    f"WITH s AS (SELECT count(*) AS size, greatest({ARRIVALS}, CAST(ceil(count(*) / {ARRIVAL_ROWS}.0) AS BIGINT)) AS files FROM events), "
+    "a AS (SELECT event_id, epoch_us(ts) AS us, least(files - 1, event_id * files // size + CASE WHEN event_id % 11 = 0 "
+    "THEN 1 ELSE 0 END) AS file FROM events, s), m AS (SELECT file, max(max(us)) OVER (ORDER BY file ROWS BETWEEN "
+    "UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000000 AS mark FROM a GROUP BY file) "
+    "SELECT event_id, coalesce(us < mark, false) AS late, CASE WHEN us < mark THEN mark - us END AS late_by_us FROM a JOIN m USING (file)"
+)
+
+
+@query(LATE_SQL)
+def stream_late_rows(spark, d):
+    """Rows behind the watermark, kept apart with their lateness; with the others they are the whole input."""
+    events = read(spark, d, "events").select("event_id", "ts")
+    size = events.count()
+    files = max(ARRIVALS, -(-size // ARRIVAL_ROWS))
+    folder = shared_path(spark, "late")
+    turn = F.expr(LATE_FILE.format(files=files, size=max(1, size)))
+    for n in range(files):
+        events.filter(turn == n).coalesce(1).write.mode("append").parquet(f"{folder}/in")  # of bounded size
+    stream = parquet_arrivals(spark, f"{folder}/in", events.schema, files_per_trigger=1)
+    parted = split_late(
+        "ts", "1 day", f"{folder}/mark",
+        lambda batch, n: append_batch(batch, f"{folder}/on_time", n),
+        lambda batch, n: append_batch(batch, f"{folder}/late", n),
+    )
+    runs.finish(runs.start(runs.to_batches(stream, parted, f"{folder}/checkpoint")))
+    back = spark.read.schema("event_id long, late_by_us long")  # there may be no late row
+    on_time = back.parquet(f"{folder}/on_time").select("event_id", F.lit(False).alias("late"))
+    late = back.parquet(f"{folder}/late").select("event_id", F.lit(True).alias("late"), "late_by_us")
+    return on_time.unionByName(late, allowMissingColumns=True)
+
+
 @query("SELECT event_type AS level, count(*) AS count FROM events GROUP BY 1")
 def sql_over_documents(spark, d):
     root = shared_path(spark, "logs")

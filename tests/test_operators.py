@@ -23,6 +23,7 @@ from freshet.session import RUNTIME_SETTINGS, checkpoint_dir, shared_path
 from freshet.sinks import documents as docs
 from freshet.sinks import tables as sink
 from freshet.sources import files, generated, log
+from suite.keyed import as_log
 
 PAYLOAD = S.schema(name="string", size="integer")
 
@@ -248,7 +249,7 @@ def test_generated_sources(spark):
 
 def test_log_offsets_and_replay(spark):
     df = spark.createDataFrame([(s, s % 4, f"m{s}") for s in range(40)], "seq long, user long, body string")
-    made = log.as_log(df, "user", "body", "seq", "s5_keys", 3, span=5, hot_rows=4)
+    made = as_log(df, "user", "body", "seq", "s5_keys", 3, span=5, hot_rows=4)
     shown = made.select("partition", "offset", F.col("key").cast("string"), F.col("value").cast("string"))
     by_partition = {}
     for r in shown.orderBy("partition", "offset").collect():
