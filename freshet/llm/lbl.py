@@ -208,9 +208,9 @@ class Trainer:
         blocks = np.array_split(np.arange(len(word)), max(1, round(len(word) / NOISE_BLOCK)))
         drawn = np.searchsorted(self.reach, self.draw.random((len(blocks), NOISE)))
         noise = np.minimum(drawn, size - 1)
-        r1, r2 = m.context[near], m.context[far]
+        r1, r2 = np.take(m.context, near, axis=0), np.take(m.context, far, axis=0)
         expected = r1 @ m.near + r2 @ m.far
-        true = m.target[word]
+        true = np.take(m.target, word, axis=0)
         pull = 1 - sigmoid(np.einsum("ij,ij->i", expected, true) + m.bias[word] - self.noise[word])
         back = pull[:, None] * true
         moved = [pull[:, None] * expected]
@@ -220,18 +220,22 @@ class Trainer:
             push = sigmoid(expected[rows] @ vectors.T + (m.bias[other] - self.noise[other]))
             back[rows] -= push @ vectors
             moved.append(-(push.T @ expected[rows]))
-        grads = [
-            summed(np.r_[near, far], np.concatenate([back @ m.near.T, back @ m.far.T]), size),
-            summed(np.r_[word, noise.ravel()], np.concatenate(moved), size),
-            r1.T @ back,
-            r2.T @ back,
-        ]
-        for part, grad, square in zip(m.parts(), grads, self.squares, strict=False):  # the biases stay
+        # A row without a gradient stays as it is, so only the others are touched.
+        for n, (places, rows) in enumerate(
+            [
+                summed(np.r_[near, far], np.concatenate([back @ m.near.T, back @ m.far.T])),
+                summed(np.r_[word, noise.ravel()], np.concatenate(moved)),
+                (slice(None), r1.T @ back),
+                (slice(None), r2.T @ back),
+            ]
+        ):  # the biases stay
+            part, square, grad = m.parts()[n], self.squares[n], rows
             grad /= len(word)
-            square += grad * grad
+            squares = square[places] + grad * grad
+            square[places] = squares
             grad *= RATE
-            grad /= np.sqrt(square)
-            part += grad
+            grad /= np.sqrt(squares)
+            part[places] += grad
         self.seen += len(word)
 
 
@@ -239,14 +243,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
-def summed(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Rows added up by place."""
-    order = np.argsort(places, kind="stable")
+def summed(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct places, and their rows added up."""
+    order = np.argsort(places.astype(np.uint16), kind="stable")  # ids of the model are small
     places = places[order]
     begins = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
-    out = np.zeros((size, rows.shape[1]), np.float32)
-    out[places[begins]] = np.add.reduceat(rows[order], begins, axis=0)
-    return out
+    return places[begins], np.add.reduceat(np.take(rows, order, axis=0), begins, axis=0)
 
 
 def stream(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
