@@ -156,6 +156,13 @@ class Coder(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+def coder_of(vocabulary: Vocabulary) -> Coder:
+    """The coder of a vocabulary, made once per worker, so its tasks share the words it remembers."""
+    if _TABLES.get("vocabulary") is not vocabulary:
+        _TABLES.update(vocabulary=vocabulary, coder=Coder(vocabulary))
+    return _TABLES["coder"]
+
+
 def model_ids(numbers: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.where(numbers >= 0, ids[np.maximum(numbers, 0)], FREQUENT - numbers)  # -1 - class, behind the frequent words
 
@@ -277,7 +284,7 @@ def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             start, vocab, unigram = shared.value
-            coder, ids, trainer = Coder(vocab), vocab.ids(), Trainer(start, unigram, SEED + number)
+            coder, ids, trainer = coder_of(vocab), vocab.ids(), Trainer(start, unigram, SEED + number)
             tokens, sums, shard = 0, np.zeros(len(start.flat())), 0
             for batch in batches:
                 codes = (model_ids(coder.encode(words_of(t.as_py())), ids) for t in batch.column(0))
@@ -335,8 +342,8 @@ class Tables:
 def prepared(model: Model, vocab: Vocabulary) -> tuple[Tables, Coder]:
     """The tables of a model, made once per worker."""
     if _TABLES.get("model") is not model:
-        _TABLES.update(model=model, made=(Tables(model), Coder(vocab)))
-    return _TABLES["made"]
+        _TABLES.update(model=model, tables=Tables(model))
+    return _TABLES["tables"], coder_of(vocab)
 
 
 def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Model, text: str = "text") -> DataFrame:
