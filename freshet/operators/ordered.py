@@ -6,7 +6,8 @@ more than ``hot_rows`` rows are found first, by one aggregate over the key
 columns. Their rows are dealt by range of key and order to blocks of about
 ``span`` rows, each block is a window of its own, and a small table with one row
 per block carries the result from block to block. If no key is hot, the plan is
-the plain window.
+the plain window. Blocks shorter than ``PART_ROWS`` share the task and the file
+that deals them, so short blocks cost rows of the small table and no tasks.
 
 Blocks come from row counts and never from the values, so any order that can be
 sorted will do: numbers, times and texts, sparse or not, with nulls first as in
@@ -30,6 +31,7 @@ from freshet.session import shared_path
 HOT_ROWS = 4_000_000  # rows of one key that a single task may sort
 FOLD_ROWS = 100_000  # rows of one key that one expression folds
 HOT_KEYS = 10_000  # hot keys that may be broadcast; beyond it all keys are cut
+PART_ROWS = 100_000  # rows that one task deals to blocks, at least
 KEY, BLOCK = "_key", "_block"
 
 
@@ -52,19 +54,27 @@ def cut_hot_keys(
     block for hot ones. Runs one job over the key columns, and writes the hot
     rows with their blocks to the shared folder, so that blocks stay as they are.
     """
-    sizes = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).drop("count")
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
     hot = sizes.limit(HOT_KEYS + 1).collect()
     if not hot:
         return df, list(keys)
     rest = None
     if keys and len(hot) <= HOT_KEYS:
         renamed = [f"_hot_{k}" for k in keys]
-        known = df.sparkSession.createDataFrame(hot, sizes.schema).toDF(*renamed).withColumn("_hot", F.lit(True))
+        known = df.sparkSession.createDataFrame(hot, sizes.schema).toDF(*renamed, "_hot")
         df = df.join(F.broadcast(known), same_keys(df, known, keys, renamed), "left").drop(*renamed)
-        rest = df.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(None).cast("int"))
-        df = df.filter("_hot").drop("_hot")
-    blocks = max(2, -(-df.count() // span))
-    dealt = df.repartitionByRange(blocks, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
+        rest = df.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(None).cast("long"))
+        df = df.filter(F.col("_hot").isNotNull()).drop("_hot")
+        size = sum(row["_rows"] for row in hot)
+    else:
+        size = df.count()
+    parts = max(2, -(-size // max(span, PART_ROWS)))
+    dealt = df.repartitionByRange(parts, *keys, *order).withColumn(BLOCK, F.spark_partition_id().cast("long"))
+    if span < PART_ROWS:
+        # Equal rows have one rank, so they stay in one block.
+        within = F.rank().over(Window.partitionBy(BLOCK).orderBy(*keys, *order)) - 1
+        dealt = dealt.withColumn("_within", F.floor(within / span))
+        dealt = dealt.withColumn(BLOCK, F.shiftleft(BLOCK, 32) + F.col("_within")).drop("_within")
     path = shared_path(df.sparkSession, "blocks")
     dealt.write.parquet(path)
     rows = df.sparkSession.read.parquet(path)

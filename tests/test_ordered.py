@@ -167,3 +167,12 @@ def test_repeated_order_values_stay_in_one_block(spark):
     out = ordered.running_sum(df, "k", "o", "v", "s", span=20, hot_rows=10).collect()
     assert sorted(r["s"] for r in out) == list(range(1, 301))
     assert all(r["o"] * 50 < r["s"] <= r["o"] * 50 + 50 for r in out)
+
+
+def test_short_blocks_take_no_task_each(spark):
+    df = spark.createDataFrame([(i % 5, i, 1) for i in range(3000)], "k int, seq long, v int")
+    blocked, groups = ordered.cut_hot_keys(df, ["k"], ["seq"], span=10, hot_rows=10)
+    sizes = [r["count"] for r in blocked.groupBy(*groups).count().collect()]
+    assert len(sizes) >= 300 and max(sizes) <= 10
+    files = [f for f in blocked.inputFiles() if f.endswith(".parquet")]
+    assert len(files) < 20  # each block had a task and a file of its own
