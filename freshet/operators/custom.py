@@ -17,6 +17,7 @@ another one needs no module there.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -109,9 +110,10 @@ def fold_groups(
 
     ``part`` makes a state, a tuple of the columns of ``state``, of some rows of a group, and
     ``merge`` one state of a frame of states (Python's values, None for null). They must agree for every way to cut
-    and order a group. Tasks make states of the rows they read, so states and not rows are
-    shuffled, and a group is merged a batch at a time. ``named`` are results over the
-    columns of the state; without any these are the result.
+    and order a group. The rows of a group are brought together first, so ``part`` is called once
+    or twice for a small group and not once for every batch that holds a row of it; partitions
+    that a hot group swells are split, as states can be merged. A group is merged a
+    batch at a time. ``named`` are results over the columns of the state; without any these are the result.
 
     Null keys form no group. ``part`` sees the rows as they are: a null in a
     whole-number column makes it a column of objects with None, so no number
@@ -153,16 +155,19 @@ def fold_groups(
             yield handed_on(held)
 
     def merged(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, last = None, None
-        for batch in batches:
-            first = batch.slice(0, 1).select(key_names) if first is None else first
+        first, second, last = next(batches), next(batches, None), None
+        if second is None and first.num_rows == 1:  # most groups have one state
+            yield first.select(out.names)
+            return
+        for batch in chain([first] if second is None else [first, second], batches):
             states = batch.select(state_names).to_pandas(integer_object_nulls=True, date_as_object=True)
             found = list(states.itertuples(index=False, name=None))
             last = one_of(found if last is None else [last, *found])
         arrays = [pa.array([v], f.type, from_pandas=True) for v, f in zip(last, arrow, strict=True)]
-        yield pa.RecordBatch.from_arrays([*first.columns, *arrays], names=[*key_names, *state_names])
+        yield pa.RecordBatch.from_arrays([*first.slice(0, 1).select(key_names).columns, *arrays], names=[*key_names, *state_names])
 
-    whole = rows.mapInArrow(parts, out).groupBy(*key_names).applyInArrow(merged, out)
+    together = rows.hint("rebalance", *key_names).sortWithinPartitions(*key_names)
+    whole = together.mapInArrow(parts, out).groupBy(*key_names).applyInArrow(merged, out)
     states = whole.select(*(F.col(n).alias(k) for k, n in zip(keys, key_names, strict=True)), *(F.col(s).alias(n) for s, n in zip(state_names, names, strict=True)))
     return states.select(*keys, *(c.alias(n) for n, c in named.items())) if named else states
 

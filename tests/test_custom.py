@@ -126,3 +126,22 @@ def test_apply_in_batches_sees_every_row_once(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert out == [(0, 99_990_000, True), (1, 100_000_000, True)]
+
+
+def test_fold_calls_part_once_or_twice_for_each_small_group(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+    sums_part, merge = sums()
+
+    def part(frame):
+        with open(calls, "a") as log:
+            log.write(".")
+        return sums_part(frame)
+
+    df = spark.range(20_000).select((F.col("id") % 200).alias("k"), F.col("id").alias("x")).repartition(8)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
+    try:
+        made = rows(custom.fold_groups(df, "k", "x", part, merge, STATE))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert made == rows(df.groupBy("k").agg(F.count("*"), F.sum("x"), F.max("x")))
+    assert len(open(calls).read()) <= 400  # one for every group in every batch would be about 14,000
