@@ -126,6 +126,17 @@ def process(
     return grouped(df).transformWithStateInPandas(steps, out, "Append", time, initialState=first)
 
 
+def dealt(keys: Sequence[str], buckets: int) -> dict:
+    """Columns that deal keys to buckets: the key as text and its bucket."""
+    return {"_k": F.to_json(F.struct(*keys)), "_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")}
+
+
+def by_key(rows: pd.DataFrame, known) -> tuple[np.ndarray, list, list]:
+    """For the rows of a bucket: the number of each row's key, the keys, and what ``known`` holds of them or None."""
+    code, own = pd.factorize(rows["_k"])
+    return code, own.tolist(), [known.getValue((k,)) for k in own]
+
+
 def running_total(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -146,19 +157,15 @@ def running_total(
     """
     keys, names = listed(keys), df.columns
     number = "float64" if kind in ("double", "float") else "int64"
-    dealt = {"_k": F.to_json(F.struct(*keys)), "_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")}
-
     def load(bucket, initial, held) -> None:
         for k, total in zip(initial["_k"], initial[out].tolist(), strict=True):
             held.map["totals"].updateValue((k,), (total,))
 
     def step(bucket, rows, held):
-        grouped = rows.groupby("_k", sort=False)
-        code, known = grouped.ngroup().to_numpy(), held.map["totals"]
+        known = held.map["totals"]
+        code, own, before = by_key(rows, known)
         # State takes values of its own type only; a column with nulls comes as fractions.
         steps = rows[value].fillna(0).astype(number) if value else pd.Series(np.ones(len(rows), dtype=np.int64))
-        own = rows["_k"].drop_duplicates().tolist()
-        before = [known.getValue((k,)) for k in own]
         sums = steps.groupby(code).cumsum() + np.array([b[0] if b else 0 for b in before])[code]
         for k, total in zip(own, sums.groupby(code).last().tolist(), strict=True):
             known.updateValue((k,), (total,))
@@ -166,62 +173,87 @@ def running_total(
 
     states = States(maps={"totals": ("k string", f"total {kind}")}, live_ms={"totals": live_ms} if live_ms else {})
     result = T.StructType([*df.schema.fields]).add(out, kind)
-    first = None if seed is None else seed.withColumns(dealt).select("_bucket", "_k", out)
-    return process(df.withColumns(dealt), "_bucket", order, result, step, states, first, load)
+    places = dealt(keys, buckets)
+    first = None if seed is None else seed.withColumns(places).select("_bucket", "_k", out)
+    return process(df.withColumns(places), "_bucket", order, result, step, states, first, load)
 
 
 def latched(
-    df: DataFrame, key: str, order: str | Sequence[str], failing: str, out: str, after: int, seed: DataFrame | None = None
+    df: DataFrame, key: str, order: str | Sequence[str], failing: str, out: str, after: int, seed: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Whether the key was blocked when the record came in.
 
     A key is blocked once more than ``after`` of its records were ``failing`` (a boolean
-    column, null is false), or from the start if it is in ``seed``.
+    column, null is false), or from the start if it is in ``seed``. Keys are dealt to
+    buckets as in ``running_total``.
     """
+    names = [c for c in df.columns if c != failing]
 
-    def load(key, initial, held) -> None:
-        held.put("blocked", True)
+    def load(bucket, initial, held) -> None:
+        for k in initial["_k"]:
+            held.map["known"].updateValue((k,), (0, True))
 
-    def step(key, rows, held):
+    def step(bucket, rows, held):
+        known = held.map["known"]
+        code, own, before = by_key(rows, known)
+        begun = np.array([b[0] if b else 0 for b in before], np.int64)
+        seeded = np.array([bool(b and b[1]) for b in before])
         fails = rows[failing].fillna(False).astype("int64")
-        before = fails.cumsum() - fails + held.get("fails", 0)
-        listed_from_the_start = held.get("blocked", False)
-        held.put("fails", int(held.get("fails", 0) + fails.sum()))
-        return rows.assign(**{out: (before > after) | listed_from_the_start}).drop(columns=[failing])
-
-    states = States(values={"fails": "fails long", "blocked": "blocked boolean"})
+        sums = fails.groupby(code).cumsum() + begun[code]
+        failed = fails.groupby(code).sum().to_numpy()
+        for k, more, total, blocked in zip(own, failed.tolist(), (begun + failed).tolist(), seeded.tolist(), strict=True):
+            if more:  # without a failure the state stays as it is
+                known.updateValue((k,), (total, blocked))
+        return rows[names].assign(**{out: (sums - fails > after) | seeded[code]})
+
+    states = States(maps={"known": ("k string", "fails long, blocked boolean")})
     result = T.StructType([f for f in df.schema.fields if f.name != failing]).add(out, "boolean")
-    first = None if seed is None else seed.select(key).filter(F.col(key).isNotNull()).distinct()
-    return process(df, key, order, result, step, states, first, load)
+    places = dealt([key], buckets)
+    first = None
+    if seed is not None:
+        first = seed.select(key).filter(F.col(key).isNotNull()).distinct().withColumns(places).select("_bucket", "_k")
+    return process(df.withColumns(places), "_bucket", order, result, step, states, first, load)
 
 
 def first_written(
-    df: DataFrame, key: str, order: str | Sequence[str], offered: str, out: str, seed: DataFrame | None = None
+    df: DataFrame, key: str, order: str | Sequence[str], offered: str, out: str, seed: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """The value that was first offered for the key, as it stood at each record.
 
     A record that offers a value where none is yet sets it, and sees it; so do the
     later ones of the same micro-batch. Null offers none. ``seed`` holds keys
-    with values ``out`` set before the stream began.
+    with values ``out`` set before the stream began. Keys are dealt to buckets as in ``running_total``.
     """
+    names = df.columns
 
-    def load(key, initial, held) -> None:
-        held.put("set", initial[out].iloc[0])
+    def load(bucket, initial, held) -> None:
+        for k, value in initial[["_k", out]].itertuples(index=False, name=None):
+            held.map["set"].updateValue((k,), (value,))
 
-    def step(key, rows, held):
-        known = held.get("set")
-        if known is None:
-            offers = rows[offered].dropna()
-            if len(offers):
-                held.put("set", offers.iloc[0])
-            return rows.assign(**{out: rows[offered].where(rows.index == offers.index[0]).ffill() if len(offers) else None})
-        return rows.assign(**{out: known})
+    def step(bucket, rows, held):
+        known = held.map["set"]
+        code, own, before = by_key(rows, known)
+        value = np.array([b[0] if b else None for b in before], object)
+        since = np.where([b is not None for b in before], 0, len(rows))  # the row from which a key's value stands
+        offers = rows[offered].dropna()
+        firsts = offers[~pd.Series(code[offers.index], offers.index).duplicated()]
+        for at, offer in zip(firsts.index, firsts.tolist(), strict=True):
+            if since[code[at]] == len(rows):
+                since[code[at]], value[code[at]] = at, offer
+                known.updateValue((own[code[at]],), (offer,))
+        stands = np.arange(len(rows)) >= since[code]
+        return rows[names].assign(**{out: [v if s else None for v, s in zip(value[code], stands, strict=True)]})
 
     kind = df.schema[offered].dataType
-    states = States(values={"set": T.StructType().add("set", kind)})
+    states = States(maps={"set": ("k string", T.StructType().add("set", kind))})
     result = T.StructType([*df.schema.fields]).add(out, kind)
-    first = None if seed is None else seed.select(key, out).filter(F.col(key).isNotNull() & F.col(out).isNotNull()).dropDuplicates([key])
-    return process(df, key, order, result, step, states, first, load)
+    places, first = dealt([key], buckets), None
+    if seed is not None:
+        first = seed.select(key, out).filter(F.col(key).isNotNull() & F.col(out).isNotNull()).dropDuplicates([key])
+        first = first.withColumns(places).select("_bucket", "_k", out)
+    return process(df.withColumns(places), "_bucket", order, result, step, states, first, load)
 
 
 STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}

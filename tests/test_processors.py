@@ -231,3 +231,22 @@ def test_running_words_as_a_stream(spark, tmp_path):
     plan = PLANS["running_word_counts"]
     runs.finish(runs.start(plan.write(parquet_arrivals(spark, str(tmp_path / "in"), schema, 1), str(tmp_path / "o"), str(tmp_path / "c"))))
     same(spark.read.parquet(str(tmp_path / "o")), plan.run(spark.createDataFrame(texts, schema)))
+
+
+@pytest.mark.parametrize("name", ["latched", "first_written", "running_sum", "changed", "latched_stream", "halving_fold"])
+def test_a_call_serves_a_bucket_of_keys(spark, stream, name):
+    from freshet.streaming import state
+
+    made = {
+        "latched": lambda rows: processors.latched(rows.withColumn("f", F.col("v") < 0), "k", "seq", "f", "out", 5),
+        "first_written": lambda rows: processors.first_written(rows, "k", "seq", "c", "out"),
+        "running_sum": lambda rows: state.running_sum_stream(rows, ["k"], "seq", "v", "out"),
+        "changed": lambda rows: state.changed_stream(rows, "k", "seq", "c", "out"),
+        "latched_stream": lambda rows: state.latched_stream(rows, "k", "seq", "c", "x", "out", 5),
+        "halving_fold": lambda rows: state.halving_fold_stream(rows, ["k"], "seq", "v", "out"),
+    }
+    rows = spark.readStream.format("rate").load().select(
+        F.col("value").alias("seq"), F.lit("a").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("c")
+    )
+    plan = made[name](rows)._jdf.queryExecution().analyzed().toString()
+    assert "_bucket" in plan and "TransformWithState" in plan  # it was a call for each key
