@@ -110,14 +110,15 @@ def rank_asof(
     Equal totals rank by key, the higher key first. ``seq`` is a distinct
     integer per record. ``band`` is the number of records per band; by default
     it grows with the square root of the record count, which keeps both the
-    groups and the table of band sums far smaller than the data.
+    groups and the table of band sums far smaller than the data. A ``band`` below
+    that root is widened to it, so the table of sums never outgrows the records.
     """
     cut = {"span": hot_rows, "hot_rows": hot_rows}
     in_time = positions(running_sum(df, key, seq, points, total, **cut), [F.col(seq)], "_when")
     spans = shifted(in_time, key, "_when", F.col("_when"), "_until", back=False, **cut)
     placed = positions(spans, [F.col(total), F.col(key), F.col("_when")], "_level")
     count = placed.count()
-    band = band or max(4096, 4 * math.isqrt(count))
+    band = max(band, math.isqrt(count)) if band else max(4096, 4 * math.isqrt(count))
 
     # Each record is two points and one question.
     entries = [_entry("_when", 1, asks=0), _entry("_until", -1, asks=0), _entry("_when", 0, asks=1)]
