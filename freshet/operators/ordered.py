@@ -65,10 +65,11 @@ def cut_hot_keys(
         df = df.join(F.broadcast(known), same_keys(df, known, keys, renamed), "left").drop(*renamed)
         rest = df.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(None).cast("long"))
         df = df.filter(F.col("_hot").isNotNull()).drop("_hot")
-        size = sum(row["_rows"] for row in hot)
-    else:
-        size = df.count()
-    parts = max(2, -(-size // max(span, PART_ROWS)))
+    # Written once, as counting, sampling and dealing would each compute the rows again.
+    whole = shared_path(df.sparkSession, "hot-rows")
+    df.write.parquet(whole)
+    df = df.sparkSession.read.parquet(whole)
+    parts = max(2, -(-df.count() // max(span, PART_ROWS)))
     dealt = df.repartitionByRange(parts, *keys, *order).withColumn(BLOCK, F.spark_partition_id().cast("long"))
     if span < PART_ROWS:
         # Equal rows have one rank, so they stay in one block.

@@ -185,3 +185,16 @@ def test_narrow_rank_bands_never_outgrow_the_records(spark):
     grid = [line for line in plan.splitlines() if "Range (0," in line]
     assert grid and "Range (0, 56" in grid[0]  # 1,500 bands would make 2,250,000 cells of 3,000 records
     assert by_seq(out, "current_rank") == by_seq(rank_asof(df, "player", "seq", "points"), "current_rank")
+
+
+def test_hot_rows_are_computed_twice_at_most(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield frame
+
+    df = spark.range(2000).selectExpr("id % 3 as k", "id as seq").mapInPandas(counted, "k long, seq long")
+    ordered.cut_hot_keys(df, [], ["seq"], span=100, hot_rows=100)
+    assert made.value <= 4000  # counted, sampled and dealt, they were computed four times
