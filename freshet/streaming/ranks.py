@@ -7,7 +7,7 @@ changes, the old place loses one and the new place gains one on each level.
 A record's rank is what lies above its own part on every level, and the members of
 its band that are higher; so it asks five nodes, however many keys there are.
 
-Totals are state by key, counts and members are state by node. Changes and
+Totals are state by bucket of keys, counts and members are state by node. Changes and
 questions of one micro-batch meet in their nodes in order, so a record sees
 those before it. A node's call holds the narrow rows of one micro-batch; the
 topmost nodes see all of them, so the source's rows per trigger bound the work.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.operators.ranking import _count_in_band
-from freshet.streaming.processors import States, process
+from freshet.streaming.processors import BUCKETS, States, by_key, dealt, process
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,21 +38,26 @@ STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields
 def totals(df: DataFrame, key: str, seq: str, points: str, total: str) -> DataFrame:
     """Each record with its key's total after it and, from the second on, before it."""
 
-    def step(key, rows, held):
-        sums = rows["points"].fillna(0).astype("int64").cumsum() + held.get("total", 0)
-        before = sums.shift(1).astype(object)
-        before.iloc[0] = held.get("total")
-        held.put("total", int(sums.iloc[-1]))
-        return rows.assign(total=sums, before=[None if pd.isna(b) else int(b) for b in before]).drop(columns=["points"])
+    def step(bucket, rows, held):
+        known = held.map["totals"]
+        code, own, begun = by_key(rows, known)
+        start = np.array([b[0] if b else 0 for b in begun], np.int64)
+        points = rows["points"].fillna(0).astype("int64")
+        sums = points.groupby(code).cumsum() + start[code]
+        new = np.array([b is None for b in begun])[code] & ~pd.Series(code).duplicated().to_numpy()
+        for k, last in zip(own, (start + points.groupby(code).sum().to_numpy()).tolist(), strict=True):
+            known.updateValue((k,), (last,))
+        before = [None if n else b for n, b in zip(new.tolist(), (sums - points).tolist(), strict=True)]
+        return rows[["name", "seq", "record"]].assign(total=sums, before=pd.Series(before, dtype=object))
 
     rows = df.select(
         F.col(key).cast("string").alias("name"),
         F.col(seq).cast("long").alias("seq"),
         F.col(points).cast("long").alias("points"),
         F.to_json(F.struct(*df.columns), STAMP).alias("record"),
-    )
+    ).withColumns(dealt(["name"], BUCKETS))
     out = "name string, seq long, record string, total long, before long"
-    return process(rows, "name", "seq", out, step, States(values={"total": "total long"}))
+    return process(rows, "_bucket", "seq", out, step, States(maps={"totals": ("k string", "total long")}))
 
 
 def nodes(total: Column) -> Column:

@@ -250,3 +250,10 @@ def test_a_call_serves_a_bucket_of_keys(spark, stream, name):
     )
     plan = made[name](rows)._jdf.queryExecution().analyzed().toString()
     assert "_bucket" in plan and "TransformWithState" in plan  # it was a call for each key
+
+
+def test_totals_of_ranks_are_kept_by_bucket(spark):
+    from freshet.streaming.ranks import totals
+
+    rows = spark.readStream.format("rate").load().select(F.col("value").alias("seq"), F.lit("a").alias("k"), F.lit(1).alias("v"))
+    assert "_bucket" in totals(rows, "k", "seq", "v", "total")._jdf.queryExecution().analyzed().toString()
