@@ -288,6 +288,12 @@ def newest_changes(
         newest = rows.drop_duplicates("_key", keep="last")
         changed = []
         for k, deleted, *stamp in newest[["_key", "deleted", *names]].itertuples(index=False, name=None):
+            if not tombstone_ms:  # nothing is given up, so one map holds the stamps of all keys
+                known, stamp = alive.getValue((k,)), tuple(map(int, stamp))
+                changed.append(known is None or stamp > tuple(known))
+                if changed[-1]:
+                    alive.updateValue((k,), stamp)
+                continue
             known, buried = alive.getValue((k,)), gone.getValue((k,))
             stamp = tuple(map(int, stamp))
             changed.append((known is None or stamp > tuple(known)) and (buried is None or stamp > tuple(buried)))

@@ -430,9 +430,13 @@ def change_stream(spark, d):
     """The log of changes as it arrives out of order: by hash, the second half of it twice."""
     folder = shared_path(spark, "change-log")
     log = order_changes(spark, d).select("offset", F.col("value").cast("string").alias("value"))
+    # Made once by all tasks; then each turn is a copy of its own rows.
     turn = F.pmod(F.xxhash64("offset"), F.lit(ARRIVALS))
+    made = shared_path(spark, "change-turns")
+    log.withColumn("turn", turn).write.partitionBy("turn").parquet(made)
+    turns = spark.read.schema("offset long, value string, turn int").parquet(made)
     for n in (2, 0, 3, 1, 3):  # late and doubled
-        log.filter(turn == n).coalesce(1).write.mode("append").parquet(folder)
+        turns.filter(F.col("turn") == n).drop("turn").coalesce(1).write.mode("append").parquet(folder)
     return parquet_arrivals(spark, folder, log.schema, files_per_trigger=1)
 
 
