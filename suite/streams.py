@@ -49,27 +49,52 @@ from suite.keyed import (
 from suite.projections import CHANGED, FLIGHTS, order_changes
 
 
-ARRIVALS, ARRIVAL_ROWS = 4, 1_000_000  # files that a table arrives in: four, and more if they would be larger
+ARRIVALS, ARRIVAL_ROWS = 4, 1_000_000  # micro-batches that a table arrives in: four, and more if they would be larger
+FILE_BYTES = 16_000_000  # texts and fields of one file of a micro-batch, as one task reads a file
 
 
 def arriving(spark, d, name, order=None):
     """A table as a stream of its files.
 
     The table may be one file, which a stream takes only as a glob. With ``order``
-    the table is written again as files that arrive one after the other in the
-    order of that column, each in a micro-batch of its own, so state goes from one to the next.
+    the table is written again as files that arrive in the order of that column, as
+    many to each micro-batch, so state goes from one to the next.
     """
     rows = configure(spark).read.parquet(f"{d}/{name}.parquet")
     if order is None:
         return zoned(parquet_arrivals(spark, f"{d}/{name}.parque[t]", rows.schema))
-    low, high, size = rows.agg(F.min(order), F.max(order), F.count("*")).first()
-    files = max(ARRIVALS, -(-size // ARRIVAL_ROWS))
-    folder, step = shared_path(spark, f"arrivals-{name}"), -(-((high or 0) - (low or 0) + 1) // files)
-    for n in range(files):
-        start = (low or 0) + n * step
-        part = rows.filter((F.col(order) >= start) & (F.col(order) < start + step))
-        part.coalesce(1).write.mode("append").parquet(folder)  # of bounded size
-    return zoned(parquet_arrivals(spark, folder, rows.schema, files_per_trigger=1))
+    folder, parts = arrivals(spark, rows, name, order)
+    return zoned(parquet_arrivals(spark, folder, rows.schema, files_per_trigger=parts))
+
+
+def arrivals(spark, rows, name, order):
+    """The folder of a table's files in the order they arrive, and how many make a micro-batch.
+
+    The order is cut into ranges, one file each. Every micro-batch but the last has the same
+    number of files, none of them empty, so no file joins the micro-batch before its own.
+    The table is dealt to micro-batches once by all tasks; then each is a copy of its own rows.
+    """
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema if f.dataType.typeName() == "string"]
+    width = sum(texts, F.lit(8 * len(rows.columns)).cast("long"))
+    low, high, size, taken = rows.agg(F.min(order), F.max(order), F.count("*"), F.sum(width)).first()
+    turns = max(ARRIVALS, -(-size // ARRIVAL_ROWS))
+    parts = max(1, -(-(taken or 0) // (turns * FILE_BYTES)))
+    step = -(-((high or 0) - (low or 0) + 1) // (turns * parts))
+    dealt = rows.withColumn("_range", F.coalesce(F.floor((F.col(order) - F.lit(low or 0)) / step), F.lit(0)).cast("int"))
+    folder, made = shared_path(spark, f"arrivals-{name}"), shared_path(spark, f"turns-{name}")
+    ranges = sorted(r[0] for r in dealt.select("_range").distinct().collect())  # at most one for each file
+    if not ranges:
+        rows.write.parquet(folder)
+        return folder, 1
+    places = [(r, n // parts, n % parts) for n, r in enumerate(ranges)]
+    known = F.broadcast(spark.createDataFrame(places, "_range int, _turn int, _place int"))  # one row for each file
+    placed = dealt.join(known, "_range").drop("_range")
+    placed.write.partitionBy("_turn").parquet(made)
+    kept = placed.drop("_turn").schema
+    for n in range(-(-len(ranges) // parts)):
+        turn = spark.read.schema(kept).parquet(f"{made}/_turn={n}")
+        turn.repartitionById(parts, "_place").drop("_place").write.mode("append").parquet(folder)
+    return folder, parts
 
 
 def through(spark, name, writer):
