@@ -17,6 +17,7 @@ from freshet.operators.lookups import first_written, lookup
 from freshet.operators.ordered import changed, halving_fold, latched, running_count
 from freshet.operators.ranking import rank_asof
 from freshet.operators.windows import with_window
+from freshet.operators.words import running_words
 from freshet.plans import values as V
 from freshet.plans.base import plan
 from freshet.streaming import processors
@@ -169,18 +170,14 @@ def word_counts(df: DataFrame) -> DataFrame:
     return tokens(df.select("text"), "text").groupBy("word").agg(F.count("*").alias("count"))
 
 
-def _placed_words(df: DataFrame, seq: str) -> DataFrame:
-    return tokens(df.select(seq, "text"), "text", "word", "position").drop("text")
-
-
 def _word_counts_on_stream(df: DataFrame, seq: str = "offset") -> DataFrame:
-    return processors.running_total(_placed_words(df, seq), "word", [seq, "position"], None, "count")
+    return processors.running_words(df, seq, "text")
 
 
 @plan(S.COMMENT, on_stream=_word_counts_on_stream, keep=ORDER)
 def running_word_counts(df: DataFrame, seq: str = "offset") -> DataFrame:
     """Every word with its count so far, in the order of texts and words."""
-    return running_count(_placed_words(df, seq), "word", [seq, "position"], "count")
+    return running_words(df, seq, "text")
 
 
 @plan(S.PAYMENT)

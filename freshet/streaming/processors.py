@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from freshet.operators.decode import change_identity
 from freshet.operators.ordered import listed
+from freshet.operators.words import BLOCK_BYTES, WORD_BUCKETS, by_bucket, counted, from_bytes, ordinals, pieces, rows_of, texts_of, to_bytes
 
 # The processors travel to the executors by value, so the package need not be
 # installed there.
@@ -137,6 +139,22 @@ def by_key(rows: pd.DataFrame, known) -> tuple[np.ndarray, list, list]:
     return code, own.tolist(), [known.getValue((k,)) for k in own]
 
 
+def packed(known: pd.Series) -> bytes:
+    """Numbers by key as one value of state: an Arrow table."""
+    sink = pa.BufferOutputStream()
+    made = pa.table({"k": pa.array(known.index, pa.string()), "n": pa.array(known.to_numpy())})
+    with pa.ipc.new_stream(sink, made.schema) as writer:
+        writer.write_table(made)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: bytes | None, number: str) -> pd.Series:
+    if value is None:
+        return pd.Series([], index=pd.Index([], dtype=object), dtype=number)
+    made = pa.ipc.open_stream(value).read_all()
+    return pd.Series(made["n"].to_numpy(), index=pd.Index(made["k"].to_numpy(), dtype=object))
+
+
 def running_total(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -150,13 +168,45 @@ def running_total(
 ) -> DataFrame:
     """Running sum of a column per key, or running count without a column; nulls add nothing.
 
-    Keys are dealt to ``buckets``, whose state is a map of totals: one call serves all
-    keys of a bucket and touches the totals of those in the micro-batch only.
+    Keys are dealt to ``buckets``: one call serves all keys of a bucket. Their totals are one
+    value of state, read and written once a micro-batch, as a request for each key takes far longer
+    than its rows; so there should be more buckets where there are more keys.
     ``seed`` holds the keys and the totals ``out`` they begin with. A key that is not
-    seen for ``live_ms`` is forgotten. The number of buckets is fixed once a stream has begun.
+    seen for ``live_ms`` is forgotten; the totals are a map then, as each has a time of its
+    own. The number of buckets is fixed once a stream has begun.
     """
     keys, names = listed(keys), df.columns
     number = "float64" if kind in ("double", "float") else "int64"
+    result = T.StructType([*df.schema.fields]).add(out, kind)
+    places = dealt(keys, buckets)
+    first = None if seed is None else seed.withColumns(places).select("_bucket", "_k", out)
+
+    def summed(rows, code, before) -> pd.Series:
+        # State takes values of its own type only; a column with nulls comes as fractions.
+        steps = rows[value].fillna(0).astype(number) if value else pd.Series(np.ones(len(rows), dtype=np.int64))
+        return steps.groupby(code).cumsum() + before[code]
+
+    def load_packed(bucket, initial, held) -> None:
+        seeds = pd.Series(initial[out].to_numpy().astype(number), index=pd.Index(initial["_k"], dtype=object))
+        every = pd.concat([unpacked(held.get("totals"), number), seeds])
+        held.put("totals", packed(every[~every.index.duplicated(keep="last")]))
+
+    def step_packed(bucket, rows, held):
+        known = unpacked(held.get("totals"), number)
+        code, own = pd.factorize(rows["_k"])
+        at = known.index.get_indexer(own)
+        values = known.to_numpy().copy()
+        sums = summed(rows, code, np.append(values, np.zeros(1, values.dtype))[at])
+        last = np.zeros(len(own), sums.dtype)
+        last[code] = sums.to_numpy()  # of a key's rows the last one stays
+        values[at[at >= 0]] = last[at >= 0]
+        held.put("totals", packed(pd.Series(np.append(values, last[at < 0]), index=known.index.append(pd.Index(own[at < 0], dtype=object)))))
+        return rows[names].assign(**{out: sums})
+
+    if not live_ms:
+        states = States(values={"totals": "packed binary"})
+        return process(df.withColumns(places), "_bucket", order, result, step_packed, states, first, load_packed)
+
     def load(bucket, initial, held) -> None:
         for k, total in zip(initial["_k"], initial[out].tolist(), strict=True):
             held.map["totals"].updateValue((k,), (total,))
@@ -164,20 +214,47 @@ def running_total(
     def step(bucket, rows, held):
         known = held.map["totals"]
         code, own, before = by_key(rows, known)
-        # State takes values of its own type only; a column with nulls comes as fractions.
-        steps = rows[value].fillna(0).astype(number) if value else pd.Series(np.ones(len(rows), dtype=np.int64))
-        sums = steps.groupby(code).cumsum() + np.array([b[0] if b else 0 for b in before])[code]
+        sums = summed(rows, code, np.array([b[0] if b else 0 for b in before]))
         for k, total in zip(own, sums.groupby(code).last().tolist(), strict=True):
             known.updateValue((k,), (total,))
         return rows[names].assign(**{out: sums})
 
-    states = States(maps={"totals": ("k string", f"total {kind}")}, live_ms={"totals": live_ms} if live_ms else {})
-    result = T.StructType([*df.schema.fields]).add(out, kind)
-    places = dealt(keys, buckets)
-    first = None if seed is None else seed.withColumns(places).select("_bucket", "_k", out)
+    states = States(maps={"totals": ("k string", f"total {kind}")}, live_ms={"totals": live_ms})
     return process(df.withColumns(places), "_bucket", order, result, step, states, first, load)
 
 
+def running_words(df: DataFrame, seq: str, text: str, buckets: int = WORD_BUCKETS) -> DataFrame:
+    """Every word of the texts with its count so far, as ``freshet.operators.words`` makes it of a batch.
+
+    The words of a run of texts come to a bucket as one row, and its counts are one value of state.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, BLOCK_BYTES):
+                for bucket, found, _ in by_bucket(piece, buckets):
+                    one = {"bucket": [bucket], "first": [int(piece["seq"][0].as_py())], "words": [to_bytes(found)]}
+                    yield pa.RecordBatch.from_pydict(one, schema=pa.schema({"bucket": pa.int32(), "first": pa.int64(), "words": pa.binary()}))
+
+    def step(bucket, rows, held):
+        known = unpacked(held.get("totals"), "int64")
+        made, after = counted(from_bytes(rows["words"].tolist()), known)
+        at = known.index.get_indexer(after.index)
+        values = known.to_numpy().copy()
+        values[at[at >= 0]] = after.to_numpy()[at >= 0]
+        held.put("totals", packed(pd.Series(np.append(values, after.to_numpy()[at < 0]), index=known.index.append(after.index[at < 0]))))
+        return pd.DataFrame({"rows": [to_bytes(made.slice(n, 1_000_000)) for n in range(0, made.num_rows, 1_000_000)]})
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch["rows"]:
+                yield from rows_of(from_bytes([value.as_py()]), seq)
+
+    dealt_words = texts_of(df, seq, text).mapInArrow(pack, "bucket int, first long, words binary")
+    made = process(dealt_words, "bucket", "first", "rows binary", step, States(values={"totals": "packed binary"}))
+    return ordinals(made.mapInArrow(unpack, f"`{seq}` long, position int, word string, count long"), df, seq)
+
+
 def latched(
     df: DataFrame, key: str, order: str | Sequence[str], failing: str, out: str, after: int, seed: DataFrame | None = None,
     buckets: int = BUCKETS,

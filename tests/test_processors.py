@@ -257,3 +257,33 @@ def test_totals_of_ranks_are_kept_by_bucket(spark):
 
     rows = spark.readStream.format("rate").load().select(F.col("value").alias("seq"), F.lit("a").alias("k"), F.lit(1).alias("v"))
     assert "_bucket" in totals(rows, "k", "seq", "v", "total")._jdf.queryExecution().analyzed().toString()
+
+
+def test_totals_of_a_bucket_are_one_request(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    class Value:
+        def __init__(self):
+            self.kept, self.requests = {}, 0
+
+        def get(self, name):
+            self.requests += 1
+            return self.kept.get(name)
+
+        def put(self, name, value):
+            self.requests += 1
+            self.kept[name] = value
+
+    rows = spark.readStream.format("rate").load().select(F.col("value").alias("seq"), F.lit("a").alias("k"), F.lit(1).alias("v"))
+    made = {}
+    monkeypatch.setattr(processors, "process", lambda df, keys, order, out, step, *rest: made.update(step=step))
+    processors.running_total(rows, "k", "seq", "v", "s")
+    held, keys = Value(), [f"k{i % 500}" for i in range(1500)]
+    for turn in range(3):
+        names = keys if turn < 2 else ["new", *keys[:5]]
+        pdf = pd.DataFrame({"seq": range(len(names)), "k": names, "v": 1, "_k": names})
+        got = made["step"]((0,), pdf, held)
+        want = pdf.groupby("k").cumcount() + 1 + np.where(pdf["k"] == "new", 0, 3 * turn)
+        assert got["s"].tolist() == want.tolist() and got.columns.tolist() == ["seq", "k", "v", "s"]
+    assert held.requests == 6  # it was two for each key and micro-batch
