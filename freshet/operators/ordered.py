@@ -84,6 +84,11 @@ def cut_hot_keys(
     return rows.withColumn(KEY, F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))), [KEY, BLOCK]
 
 
+def spread(rows: DataFrame, groups: Sequence[str], tasks: int | None) -> DataFrame:
+    """Deals groups to a number of tasks, where the caller knows how many rows there are."""
+    return rows.repartition(tasks, *groups) if tasks and groups else rows
+
+
 def carry(rows: DataFrame, edges: DataFrame, name: str) -> DataFrame:
     """Joins per-block values to the rows of their block, which lie together already."""
     side = edges.select(F.col(KEY).alias("_carry_key"), F.col(BLOCK).alias("_carry_block"), name)
@@ -104,10 +109,12 @@ def running_sum(
     inclusive: bool = True,
     span: int = HOT_ROWS,
     hot_rows: int = HOT_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The sum up to each row of its key, or up to the row before it."""
     keys, order, value = listed(keys), listed(order), as_column(value)
     blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
+    blocked = spread(blocked, groups, tasks)
     last = Window.currentRow if inclusive else -1
     here = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     zero = F.lit(0)
@@ -134,10 +141,12 @@ def shifted(
     back: bool = True,
     span: int = HOT_ROWS,
     hot_rows: int = HOT_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The value of the row before (or after) each row within its key."""
     keys, order, value = listed(keys), listed(order), as_column(value)
     blocked, groups = cut_hot_keys(df, keys, order, span, hot_rows)
+    blocked = spread(blocked, groups, tasks)
     here = Window.partitionBy(*groups).orderBy(*order)
     step = F.lag if back else F.lead
     rows = blocked.withColumn(out, step(value).over(here))

@@ -20,7 +20,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,10 +31,19 @@ from freshet.session import shared_path
 # be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+TASK_ROWS = 500_000  # rows that one task sorts or joins, about
 LOW_BITS = 33  # monotonically_increasing_id: row number below, partition above
 
 
-def positions(df: DataFrame, order: list, out: str) -> DataFrame:
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks for so many rows: their number grows with the rows, so that the memory of one does not.
+
+    Left to itself a shuffle keeps its width, and adaptive execution goes by bytes as they are packed.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+
+
+def positions(df: DataFrame, order: list, out: str, tasks: int | None = None) -> DataFrame:
     """Numbers all rows from 0 in the given order, without a single-task sort.
 
     The rows are range partitioned, sorted and written to a table in the shared
@@ -42,7 +51,8 @@ def positions(df: DataFrame, order: list, out: str) -> DataFrame:
     partitioning, however often they are read or a task is run again.
     """
     path = shared_path(df.sparkSession, "positions")
-    df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    ranges = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order) if tasks else df.orderBy(*order)
+    ranges.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
     ordered = df.sparkSession.read.parquet(path)
     numbered = ordered.withColumns(
         {
@@ -54,7 +64,7 @@ def positions(df: DataFrame, order: list, out: str) -> DataFrame:
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    return numbered.join(starts, "_part").withColumn(out, F.col("_start") + F.col("_row")).drop(
+    return numbered.join(F.broadcast(starts), "_part").withColumn(out, F.col("_start") + F.col("_row")).drop(
         "_id", "_part", "_row", "_start"
     )
 
@@ -69,7 +79,9 @@ def weight_above(when: np.ndarray, high_first: np.ndarray, weight: np.ndarray) -
     t, w = when[high_first], weight[high_first]
     found = np.zeros(len(when), dtype=np.int64)
     for bit in range(max(len(when) - 1, 0).bit_length()):
-        by_node = np.argsort(t >> (bit + 1), kind="stable")
+        # Small numbers are sorted by their digits, in one pass.
+        halves = t >> (bit + 1)
+        by_node = np.argsort(halves.astype(np.uint16) if len(t) <= 1 << 17 else halves, kind="stable")
         node, second = t[by_node] >> (bit + 1), (t[by_node] >> bit) & 1
         first_half = np.where(second == 0, w[by_node], 0)
         sums = np.cumsum(first_half)
@@ -113,11 +125,12 @@ def rank_asof(
     groups and the table of band sums far smaller than the data. A ``band`` below
     that root is widened to it, so the table of sums never outgrows the records.
     """
-    cut = {"span": hot_rows, "hot_rows": hot_rows}
-    in_time = positions(running_sum(df, key, seq, points, total, **cut), [F.col(seq)], "_when")
+    count = df.count()
+    tasks, many = tasks_for(df.sparkSession, count), tasks_for(df.sparkSession, 3 * count)
+    cut = {"span": hot_rows, "hot_rows": hot_rows, "tasks": tasks}
+    in_time = positions(running_sum(df, key, seq, points, total, **cut), [F.col(seq)], "_when", tasks)
     spans = shifted(in_time, key, "_when", F.col("_when"), "_until", back=False, **cut)
-    placed = positions(spans, [F.col(total), F.col(key), F.col("_when")], "_level")
-    count = placed.count()
+    placed = positions(spans, [F.col(total), F.col(key), F.col("_when")], "_level", tasks)
     band = max(band, math.isqrt(count)) if band else max(4096, 4 * math.isqrt(count))
 
     # Each record is two points and one question.
@@ -130,13 +143,13 @@ def rank_asof(
     )
     columns = ["row", "at", "level", "weight", "asks"]
     found = "row long, above long"
-    same_time = both.groupBy("time_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
+    same_time = both.repartition(many, "time_band").groupBy("time_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
     # Within a band of totals only earlier time bands count: a record asks at
     # the first moment of its own band, before that band's points.
     band_start = both.withColumn(
         "at", F.when(F.col("asks") == 1, 2 * F.col("time_band")).otherwise(2 * F.col("time_band") + 1)
     )
-    same_level = band_start.groupBy("level_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
+    same_level = band_start.repartition(many, "level_band").groupBy("level_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
 
     last = (count - 1) // band if count else 0
     cells = both.groupBy("time_band", "level_band").agg(F.sum("weight").alias("net"))
@@ -156,8 +169,11 @@ def rank_asof(
         .withColumn("above", F.coalesce(F.sum("net").over(higher), F.lit(0)))
         .select("time_band", "level_band", "above")
     )
-    far = both.filter("asks = 1").select("row", "time_band", "level_band").join(sums, ["time_band", "level_band"])
+    cell = ["time_band", "level_band"]
+    asked = both.filter("asks = 1").select("row", *cell).repartition(tasks, *cell)
+    far = asked.join(sums.repartition(tasks, *cell), cell)
     parts = same_time.union(same_level).union(far.select("row", "above"))
-    ranks = parts.groupBy("row").agg(F.sum("above").alias(rank))
+    ranks = parts.repartition(tasks, "row").groupBy("row").agg(F.sum("above").alias(rank))
+    placed = placed.repartition(tasks, "_when")
     return placed.join(ranks, placed["_when"] == ranks["row"]).drop("_until", "_level", "_when", "row")
 

@@ -198,3 +198,19 @@ def test_hot_rows_are_computed_twice_at_most(spark):
     df = spark.range(2000).selectExpr("id % 3 as k", "id as seq").mapInPandas(counted, "k long, seq long")
     ordered.cut_hot_keys(df, [], ["seq"], span=100, hot_rows=100)
     assert made.value <= 4000  # counted, sampled and dealt, they were computed four times
+
+
+def test_rank_asof_tasks_grow_with_the_rows(spark, monkeypatch):
+    from freshet.operators import ranking
+
+    monkeypatch.setattr(ranking, "TASK_ROWS", 40, raising=False)
+    rows = [(i, f"p{i * 7 % 11}", i * 5 % 13) for i in range(200)]
+    df = spark.createDataFrame(rows, "seq long, player string, points long")
+    got = rank_asof(df, "player", "seq", "points")
+    totals, want = {}, []
+    for seq, player, points in rows:
+        totals[player] = totals.get(player, 0) + points
+        own = (totals[player], player)
+        want.append((seq, own[0], sum((t, p) > own for p, t in totals.items())))
+    assert sorted(tuple(r) for r in got.select("seq", "total_score", "current_rank").collect()) == want
+    assert got.rdd.getNumPartitions() == 5  # it was the width of a shuffle, however many rows
