@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from freshet.operators.ordered import HOT_ROWS, running_sum, shifted
+from freshet.operators.ordered import HOT_ROWS, running_sum, shifted, spread
 from freshet.session import shared_path
 
 # The band functions travel to the executors by value, so the package need not
@@ -35,12 +35,14 @@ TASK_ROWS = 500_000  # rows that one task sorts or joins, about
 LOW_BITS = 33  # monotonically_increasing_id: row number below, partition above
 
 
-def tasks_for(spark: SparkSession, rows: int) -> int:
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
     """Tasks for so many rows: their number grows with the rows, so that the memory of one does not.
 
-    Left to itself a shuffle keeps its width, and adaptive execution goes by bytes as they are packed.
+    Left to itself a shuffle keeps its width, and adaptive execution goes by bytes as they are packed. None
+    where that width is enough, as for micro-batches.
     """
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    tasks = -(-rows // TASK_ROWS)
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def positions(df: DataFrame, order: list, out: str, tasks: int | None = None) -> DataFrame:
@@ -143,13 +145,13 @@ def rank_asof(
     )
     columns = ["row", "at", "level", "weight", "asks"]
     found = "row long, above long"
-    same_time = both.repartition(many, "time_band").groupBy("time_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
+    same_time = spread(both, ["time_band"], many).groupBy("time_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
     # Within a band of totals only earlier time bands count: a record asks at
     # the first moment of its own band, before that band's points.
     band_start = both.withColumn(
         "at", F.when(F.col("asks") == 1, 2 * F.col("time_band")).otherwise(2 * F.col("time_band") + 1)
     )
-    same_level = band_start.repartition(many, "level_band").groupBy("level_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
+    same_level = spread(band_start, ["level_band"], many).groupBy("level_band").applyInPandas(lambda p: _count_in_band(p[columns]), found)
 
     last = (count - 1) // band if count else 0
     cells = both.groupBy("time_band", "level_band").agg(F.sum("weight").alias("net"))
@@ -170,10 +172,10 @@ def rank_asof(
         .select("time_band", "level_band", "above")
     )
     cell = ["time_band", "level_band"]
-    asked = both.filter("asks = 1").select("row", *cell).repartition(tasks, *cell)
-    far = asked.join(sums.repartition(tasks, *cell), cell)
+    asked = spread(both.filter("asks = 1").select("row", *cell), cell, tasks)
+    far = asked.join(spread(sums, cell, tasks), cell)
     parts = same_time.union(same_level).union(far.select("row", "above"))
-    ranks = parts.repartition(tasks, "row").groupBy("row").agg(F.sum("above").alias(rank))
-    placed = placed.repartition(tasks, "_when")
+    ranks = spread(parts, ["row"], tasks).groupBy("row").agg(F.sum("above").alias(rank))
+    placed = spread(placed, ["_when"], tasks)
     return placed.join(ranks, placed["_when"] == ranks["row"]).drop("_until", "_level", "_when", "row")
 
