@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterator
 
 CACHE_ENTRIES = 700_000  # chunks remembered by one Python worker
 LONGEST_KEY = 64  # longer chunks are encoded each time
+_CACHES: weakref.WeakSet = weakref.WeakSet()  # of this Python worker
 
 
 class ChunkCache:
@@ -18,6 +20,7 @@ class ChunkCache:
     def __init__(self, compute: Callable, entries: int = CACHE_ENTRIES):
         self.compute, self.entries = compute, entries // 2
         self.known, self.older = {}, {}
+        _CACHES.add(self)
 
     def value(self, chunk):
         found = self.known.get(chunk)
@@ -38,6 +41,16 @@ class ChunkCache:
         return found
 
 
+def forget() -> None:
+    """Gives up the chunks that operators remember in this worker.
+
+    Workers outlive the operators they served, so tasks of operators that
+    remember nothing call this first; their memory would come on top.
+    """
+    for cache in _CACHES:
+        cache.known, cache.older = {}, {}
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable
     Latin-1 bytes stand for themselves, the others are numbered from 256 on."""

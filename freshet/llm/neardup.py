@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.chunks import ChunkCache, sliced
+from freshet.llm.chunks import forget, sliced
 from freshet.llm.graph import components, written
 
 BUCKETS, ROWS, BANDS = 256, 6, 42
@@ -35,7 +35,6 @@ ERRORS = 5  # standard errors below the threshold at which a pair is still confi
 CHANCE = 2.0**-MANTISSA / 3  # that two unlike registers agree
 OUT_BYTES = 8 << 20
 OUT = "doc_id long, n_shingles long, h1 long, h2 long, filled int, registers binary"
-_WORDS = ChunkCache(lambda word: xxhash.xxh3_64_intdigest(word))
 _ORDER = np.random.default_rng(17).permuted(np.tile(np.arange(1, BUCKETS + 1), (BUCKETS, 1)), axis=1)
 np.fill_diagonal(_ORDER, 0)  # a full bucket is its own first choice
 
@@ -55,7 +54,7 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     words = text.lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.array(_WORDS.values(words), np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(width, len(words))
     total = np.full(len(words) - width + 1, width, np.uint64)
     for at in range(width):
@@ -88,6 +87,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Set size, set hash and registers of every document (``id``, ``text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = []
             for text in batch.column(1):
@@ -127,6 +127,7 @@ def members(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     rows = docs.join(nodes.hint("merge"), docs["id"] == nodes["node"]).select("family", "node", "text")  # one plan at all sizes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             made = ((row, shingles(text.as_py(), width)) for row, text in enumerate(batch.column(2)))
             for part in sliced(((r, h) for r, h in made if len(h)), lambda m: m[1].nbytes + 512, OUT_BYTES):
@@ -178,6 +179,7 @@ def linker(percent: int):
     def links(table: pa.Table) -> pa.Table:
         """Links that join what is not joined yet, confirmed on the full sets: between
         rows of side 0 and side 1, or among all rows where side is 2."""
+        forget()
         side, nodes, sizes, filled = (np.asarray(table[c]) for c in ("side", "node", "n", "filled"))
         held = np.frombuffer(b"".join(table["registers"].to_pylist()), np.uint16).reshape(len(nodes), BUCKETS)
         sets = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]

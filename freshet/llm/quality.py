@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.chunks import unused
+from freshet.llm.chunks import forget, unused
 
 PER_LABEL = 2000  # labelled documents of each label that the space is fitted on, at most
 DIMENSIONS = 32
@@ -198,6 +198,7 @@ def score(docs: DataFrame, space: Space, out: str = "score", text: str = "text")
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -150,3 +151,34 @@ def test_archives_parse_in_any_pieces(cut):
     rows = list(warc.parsed(whole[i : i + cut] for i in range(0, len(whole), cut)))
     assert [(r["id"], r["bytes"]) for r in rows] == [(f"<urn:page:{i}>", len(b.encode())) for i, b in enumerate(bodies)]
     assert [r["chunks"] for r in rows] == [1, 1, 1, 1, 6]
+
+
+class Tasks:
+    """Stands for a DataFrame: runs a function over one batch, as a worker would."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch = batch
+
+    def mapInArrow(self, run, schema) -> list[pa.RecordBatch]:  # noqa: N802
+        return list(run(iter([self.batch])))
+
+
+def test_near_duplicates_remember_no_words():
+    neardup.shingles(b"some words", 5)
+    tracemalloc.start()
+    try:
+        for at in range(100):
+            neardup.shingles(" ".join(f"word{at}x{i}" for i in range(1000)).encode(), 5)
+        assert tracemalloc.get_traced_memory()[0] < 1 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_near_duplicates_give_up_what_packing_remembers():
+    coder = packing.encoder(WORDS)
+    ids = coder.encode(b"five words of one text")
+    caches = (coder.chunks, coder.words)
+    assert all(c.known for c in caches)
+    neardup.signatures(Tasks(pa.record_batch({"id": pa.array([1]), "text": pa.array([b"another text"])})), 5)
+    assert not any(c.known or c.older for c in caches)
+    assert coder.encode(b"five words of one text") == ids
