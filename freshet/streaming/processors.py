@@ -35,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 BUCKETS = 64
+KEY_BUCKETS = 256  # where there are as many keys as rows
 
 
 @dataclass(frozen=True)
@@ -333,11 +334,31 @@ def first_written(
     return process(df.withColumns(places), "_bucket", order, result, step, states, first, load)
 
 
+def packed_stamps(keys: np.ndarray, stamps: np.ndarray) -> bytes:
+    """Stamps of some numbers each by key as one value of state."""
+    return to_bytes(pa.table([pa.array(keys, pa.string()), *map(pa.array, stamps.T)], ["k", *numbered(stamps.T)]))
+
+
+def unpacked_stamps(value: bytes | None, numbers: int) -> tuple[np.ndarray, np.ndarray]:
+    if value is None:
+        return np.array([], object), np.empty((0, numbers), np.int64)
+    made = pa.ipc.open_stream(value).read_all()
+    return made["k"].to_numpy(), np.stack([made[c].to_numpy() for c in numbered(range(numbers))], axis=1)
+
+
+def later(stamps: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each stamp comes after the known one: by its first number that differs."""
+    found = np.zeros(len(stamps), bool)
+    for new, old in zip(stamps.T[::-1], known.T[::-1], strict=True):
+        found = (new > old) | ((new == old) & found)
+    return found
+
+
 STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def newest_changes(
-    df: DataFrame, key: str, order: Sequence[str] = ("ts",), tombstone_ms: int | None = None, buckets: int = BUCKETS
+    df: DataFrame, key: str, order: Sequence[str] = ("ts",), tombstone_ms: int | None = None, buckets: int = KEY_BUCKETS
 ) -> DataFrame:
     """Decoded change events to the newest state of each key, one row per key that a
     micro-batch has changed: ``_key`` as text, ``order``, ``deleted`` and ``after``.
@@ -345,7 +366,8 @@ def newest_changes(
     An event that is not newer than what is known, late or delivered again, changes
     nothing. Of deleted keys a tombstone stays, so a late event can't bring one back;
     after ``tombstone_ms`` it is given up. Events without a key, or with a null in ``order``,
-    are left out. Keys are dealt to buckets as in ``running_total``.
+    are left out. Keys are dealt to buckets as in ``running_total``, and the stamps of a
+    bucket's keys are one value of state likewise, unless tombstones are given up.
     """
     whole, times = df.schema["after"].dataType, [df.schema[c] for c in order]
     stamped = T.StructType([T.StructField(f.name, T.LongType()) for f in times])
@@ -360,17 +382,25 @@ def newest_changes(
     ).dropna(subset=["_key", *order])
     names = list(order)
 
+    def step_packed(bucket, rows, held):
+        newest = rows.drop_duplicates("_key", keep="last")
+        own, stamps = newest["_key"].to_numpy(object), newest[names].to_numpy(np.int64)
+        keys, known = unpacked_stamps(held.get("newest"), len(names))
+        at = pd.Index(keys).get_indexer(own)
+        there = np.flatnonzero(at >= 0)
+        changed = at < 0
+        changed[there] = later(stamps[there], known[at[there]])
+        moved = there[changed[there]]
+        known[at[moved]] = stamps[moved]
+        if changed.any():
+            held.put("newest", packed_stamps(np.append(keys, own[at < 0]), np.concatenate([known, stamps[at < 0]])))
+        return newest[changed]
+
     def step(bucket, rows, held):
         alive, gone = held.map["alive"], held.map["gone"]
         newest = rows.drop_duplicates("_key", keep="last")
         changed = []
         for k, deleted, *stamp in newest[["_key", "deleted", *names]].itertuples(index=False, name=None):
-            if not tombstone_ms:  # nothing is given up, so one map holds the stamps of all keys
-                known, stamp = alive.getValue((k,)), tuple(map(int, stamp))
-                changed.append(known is None or stamp > tuple(known))
-                if changed[-1]:
-                    alive.updateValue((k,), stamp)
-                continue
             known, buried = alive.getValue((k,)), gone.getValue((k,))
             stamp = tuple(map(int, stamp))
             changed.append((known is None or stamp > tuple(known)) and (buried is None or stamp > tuple(buried)))
@@ -386,9 +416,10 @@ def newest_changes(
                     gone.removeKey((k,))
         return newest[changed]
 
-    states = States(
-        maps={"alive": ("k string", kind), "gone": ("k string", kind)}, live_ms={"gone": tombstone_ms} if tombstone_ms else {}
-    )
+    if tombstone_ms:
+        states = States(maps={"alive": ("k string", kind), "gone": ("k string", kind)}, live_ms={"gone": tombstone_ms})
+    else:  # nothing is given up, so the stamps of all keys are kept alike
+        states, step = States(values={"newest": "packed binary"}), step_packed
     made = process(rows, "bucket", names, rows.schema, step, states)
     kinds = [F.col(f.name).cast(f.dataType).alias(f.name) for f in times]
     return made.select("_key", *kinds, "deleted", F.from_json("_row", whole, STAMP).alias("after"))

@@ -455,14 +455,17 @@ def change_stream(spark, d):
     """The log of changes as it arrives out of order: by hash, the second half of it twice."""
     folder = shared_path(spark, "change-log")
     log = order_changes(spark, d).select("offset", F.col("value").cast("string").alias("value"))
-    # Made once by all tasks; then each turn is a copy of its own rows.
+    # Made once by all tasks; then each turn is a copy of its own rows, in as many files as any other.
     turn = F.pmod(F.xxhash64("offset"), F.lit(ARRIVALS))
     made = shared_path(spark, "change-turns")
     log.withColumn("turn", turn).write.partitionBy("turn").parquet(made)
     turns = spark.read.schema("offset long, value string, turn int").parquet(made)
+    width = F.sum(8 + F.coalesce(F.octet_length("value"), F.lit(0))).alias("width")
+    parts = max(1, -(-(turns.groupBy("turn").agg(width).agg(F.max("width")).first()[0] or 0) // FILE_BYTES))
     for n in (2, 0, 3, 1, 3):  # late and doubled
-        turns.filter(F.col("turn") == n).drop("turn").coalesce(1).write.mode("append").parquet(folder)
-    return parquet_arrivals(spark, folder, log.schema, files_per_trigger=1)
+        own = turns.filter(F.col("turn") == n).drop("turn").withColumn("_place", F.expr(f"int(monotonically_increasing_id() % {parts})"))
+        own.repartitionById(parts, "_place").drop("_place").write.mode("append").parquet(folder)
+    return parquet_arrivals(spark, folder, log.schema, files_per_trigger=parts)
 
 
 @query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")

@@ -287,3 +287,56 @@ def test_totals_of_a_bucket_are_one_request(spark, monkeypatch):
         want = pdf.groupby("k").cumcount() + 1 + np.where(pdf["k"] == "new", 0, 3 * turn)
         assert got["s"].tolist() == want.tolist() and got.columns.tolist() == ["seq", "k", "v", "s"]
     assert held.requests == 6  # it was two for each key and micro-batch
+
+
+def test_stamps_of_a_bucket_are_one_request(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    class Value:
+        def __init__(self):
+            self.kept, self.requests = {}, 0
+
+        def get(self, name):
+            self.requests += 1
+            return self.kept.get(name)
+
+        def put(self, name, value):
+            self.requests += 1
+            self.kept[name] = value
+
+    rows = spark.readStream.format("rate").load().select(
+        F.lit("u").alias("op"), F.struct(F.col("value").alias("id")).alias("before"), F.struct(F.col("value").alias("id")).alias("after"),
+        F.col("value").alias("ts"), F.col("value").alias("n"),
+    )
+    made = {}
+    monkeypatch.setattr(processors, "process", lambda df, keys, order, out, step, *rest: made.update(step=step) or df)
+    processors.newest_changes(rows, "id", ["ts", "n"])
+    held, draw, known = Value(), np.random.default_rng(5), {}
+    for _ in range(3):
+        stamps = draw.integers(-3, 4, (900, 2))
+        pdf = pd.DataFrame({"_key": [f"k{i}" for i in draw.integers(0, 400, 900)], "deleted": False, "ts": stamps[:, 0], "n": stamps[:, 1], "_row": "{}"})
+        want = {}
+        for k, *stamp in pdf[["_key", "ts", "n"]].itertuples(index=False, name=None):
+            if tuple(stamp) > known.get(k, (-9, -9)):
+                want[k] = known[k] = tuple(stamp)
+        got = made["step"]((0,), pdf.sort_values(["ts", "n"], ignore_index=True), held)
+        assert {k: (t, n) for k, t, n in zip(got["_key"], got["ts"], got["n"], strict=True)} == want
+    assert held.requests == 6  # it was up to two for each key and micro-batch
+
+
+def test_a_turn_of_changes_is_many_files(spark, tmp_path, monkeypatch):
+    import glob
+
+    from suite import streams
+
+    rows = [(i, "P" if i % 3 else "O", START, f"{i}") for i in range(200)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderstatus string, o_orderdate timestamp, o_comment string").write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(streams, "FILE_BYTES", 5_000)
+    monkeypatch.setattr(streams, "shared_path", lambda spark, name: str(tmp_path / name))
+    stream = streams.change_stream(spark, str(tmp_path))
+    files = glob.glob(str(tmp_path / "change-log/*.parquet"))
+    assert len(files) > 5 and len(files) % 5 == 0  # it was one for each of the five
+    log = spark.read.parquet(str(tmp_path / "change-log"))
+    assert log.count() == 600 + log.filter("pmod(xxhash64(offset), 4) = 3").distinct().count()
+    assert log.distinct().count() == 600 and stream.isStreaming
