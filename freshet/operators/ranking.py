@@ -83,7 +83,7 @@ def weight_above(when: np.ndarray, high_first: np.ndarray, weight: np.ndarray) -
     for bit in range(max(len(when) - 1, 0).bit_length()):
         # Small numbers are sorted by their digits, in one pass.
         halves = t >> (bit + 1)
-        by_node = np.argsort(halves.astype(np.uint16) if len(t) <= 1 << 17 else halves, kind="stable")
+        by_node = np.argsort(halves.astype(np.uint16) if len(t) <= 1 << (bit + 17) else halves, kind="stable")
         node, second = t[by_node] >> (bit + 1), (t[by_node] >> bit) & 1
         first_half = np.where(second == 0, w[by_node], 0)
         sums = np.cumsum(first_half)

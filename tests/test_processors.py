@@ -110,6 +110,38 @@ def test_ranks_from_counts(spark, stream, batch, tmp_path):
     same(got, rank_asof(batch, "k", "seq", "v"))
 
 
+@pytest.mark.parametrize("wide", [1, 3_000_000_007])
+def test_ranks_over_slices_of_time(spark, stream, batch, tmp_path, monkeypatch, wide):
+    monkeypatch.setattr(ranks, "SLICE_BITS", 3, raising=False)
+    points = F.col("v") * wide
+    got = ran(spark, ranks.rank_parts(stream.withColumn("v", points), "k", "seq", "v"), tmp_path, lambda b: ranks.ranks(b, SCHEMA))
+    same(got, rank_asof(batch.withColumn("v", points), "k", "seq", "v"))
+
+
+def test_the_topmost_nodes_see_a_row_for_each_part_of_a_slice(spark):
+    """They saw every record of a micro-batch, twice."""
+    draw, held, rows = random.Random(4), {}, []
+    for i in range(600):
+        k = draw.choice("abcdefgh")
+        rows.append((f"={k}", i * 100, f"r{i}", held.get(k, 5_000) + draw.randint(-2, 5), held.get(k)))
+        held[k] = rows[-1][3]
+    moved = spark.createDataFrame(rows, "name string, seq long, record string, total long, before long").repartition(5)
+    got = ranks.sliced(moved).collect()
+    slices = {i * 100 >> 14 for i in range(600)}
+    assert sorted(r["slice"] for r in got if r["level"] == 0) == sorted(slices) == [0, 1, 2, 3]
+    for level in range(4):
+        assert sum(r["gain"] for r in got if r["level"] == level) == len(held)
+    seen = {r["record"]: r["above"] for r in got if r["level"] == 4 and r["asks"]}
+    want, places = {}, {}
+    for name, seq, record, total, _ in rows:
+        own = seq >> 14
+        places.setdefault(own, {p: 0 for p in places.get(own, ())})[name] = total
+        before = dict((n, t) for n, s, _, t, _ in rows if s >> 14 < own)
+        above = lambda at: sum((t, n) > (total, name) for n, t in at.items())
+        want[record] = above(before | places[own]) - above(before)
+    assert seen == want
+
+
 def test_a_micro_batch_changes_only_its_own_nodes(spark):
     places = spark.createDataFrame([(5,), (6,), (70_000,), (-1,)], "t long").select(F.transform(ranks.nodes(F.col("t")), lambda n: n["node"]))
     found = [r[0] for r in places.collect()]
